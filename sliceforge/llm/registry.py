@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from sliceforge.llm.simhash import op9
+from sliceforge.llm.substring import op7
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op7_substring_dedup": op7,
     "op9_simhash": op9,
 }
 
