@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sliceforge.llm.simhash import op9
 from sliceforge.llm.substring import op7
+from sliceforge.llm.toxicity import op2
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_toxicity": op2,
     "op7_substring_dedup": op7,
     "op9_simhash": op9,
 }
