@@ -6,14 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sliceforge.llm.bpe import op5
+from sliceforge.llm.packing import op10
+from sliceforge.llm.secrets import op4
 from sliceforge.llm.simhash import op9
 from sliceforge.llm.substring import op7
 from sliceforge.llm.toxicity import op2
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2,
+    "op4_secrets": op4,
+    "op5_bpe": op5,
     "op7_substring_dedup": op7,
     "op9_simhash": op9,
+    "op10_packing": op10,
 }
 
 ORACLES: dict[str, str] = {}
