@@ -1,8 +1,7 @@
 """Packing along a space-filling curve.
 
-Each document gets a hashed bag-of-words vector, projected by hashed signs to a few dimensions; the
-projections, ranked against a bounded sample, are cell coordinates of a Hilbert curve, whose key
-range-sorts the documents. Neighbours on the curve are alike, and are laid end to end and cut every
+Each document's hashed bag of words is projected by hashed signs to a few dimensions; the projections,
+spread by a logistic curve, are cell coordinates of a Hilbert curve, whose key range-sorts the documents. Neighbours on the curve are alike, and are laid end to end and cut every
 `length` tokens. Each range partition is laid out by itself; the end of a partition is cut into
 sequences whose lengths are powers of two, which need no padding. So no id is padded or shared.
 """
@@ -218,11 +217,12 @@ def pack(docs: DataFrame, path: str, length: int = 1024, text: str = "text") ->
     )
     # a row for each partition: where its sequences start among all
     counts = laid.groupBy("part").agg((F.max("sequence") + 1).alias("n")).orderBy("part").collect()
-    firsts = [(r.part, sum(x.n for x in counts[:i])) for i, r in enumerate(counts)]
-    if not firsts:
-        return laid.select(*_LAID[:5], F.col("sequence").alias("sequence_id"), "offset")
-    base = F.element_at(F.create_map(*[F.lit(x) for pair in firsts for x in pair]), F.col("part"))
-    return laid.select(*_LAID[:5], (base + F.col("sequence")).cast("long").alias("sequence_id"), "offset")
+    firsts, seen = [], 0
+    for r in counts:
+        firsts.append((r.part, seen))
+        seen += r.n
+    base = F.broadcast(spark.createDataFrame(firsts, "part int, first long"))
+    return laid.join(base, "part").select(*_LAID[:5], (F.col("first") + F.col("sequence")).alias("sequence_id"), "offset")
 
 
 def op10(spark, sf_dir: str) -> DataFrame:
