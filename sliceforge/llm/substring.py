@@ -11,8 +11,9 @@ Names are 64-bit hashes, so all tasks agree on them without a dictionary.
 
 1. anchors: each window is led by one symbol inside it, of the highest level there is (a pair symbol of
    the last round, else a run, else a token), chosen by content only. Equal windows have equal anchors.
-   Spark counts anchors over the whole corpus; an anchor seen once has no repeated window.
-2. windows under shared anchors are verified by a 128-bit hash of all their tokens. Neighbouring
+   Spark counts anchors over the whole corpus (with all tokens in the symbol's reach); an anchor seen once
+   has no repeated window.
+2. windows under shared anchors are verified by a hash of all their tokens (96 bits; chunks 128). Neighbouring
    windows travel together in chunks cut by content. An equal chunk met before covers all its windows;
    windows of first chunks are compared one by one. Only earlier starts count.
 3. covered tokens go back to their documents.
@@ -31,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sliceforge.llm.textkit import U, Words, mix, powers, prefix_sums, slices, utf8
+from sliceforge.llm.textkit import U, Words, mix, powers, prefix_sums, slices, span_hash, utf8
 from sliceforge.runtime import ship, table
 
 ROUNDS = 2
@@ -39,7 +40,7 @@ ROUNDS = 2
 REACH = (8, 3, 1)
 FAR = 1 << 40
 NONE = U(0xFFFFFFFFFFFFFFFF)
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 2 << 20
 
 
 class Symbols:
@@ -96,46 +97,67 @@ def _slide(best: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
-def anchors(h: np.ndarray, text: np.ndarray, starts: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The anchor of each window that begins at one of `starts` (token indices); then all places that
-    lead a window: their anchors and texts. A place is counted once, however many windows it leads, and
-    two places in one stretch (periodic text) count as two."""
+class Places:
+    """Places of one level that lead windows: token index, rank value, key and text of each, and what leads each window start."""
+
+    def __init__(self, at, value, key, text, width, leader):
+        self.at, self.value, self.key, self.text, self.width, self.leader = at, value, key, text, width, leader
+
+    def led(self, chosen: np.ndarray) -> np.ndarray:
+        """Starts of the windows that the chosen places lead."""
+        at, value = self.at[chosen], self.value[chosen]
+        hits = []
+        for back in range(self.width):
+            start = at - back
+            hits.append(start[(start >= 0) & (self.leader[np.maximum(start, 0)] == value)])
+        return np.concatenate(hits)
+
+
+def anchors(h: np.ndarray, text: np.ndarray, starts: np.ndarray, window: int) -> list[Places]:
+    """All places that lead a window beginning at one of `starts` (token indices), by level.
+
+    Of the symbols inside a window the one with the smallest rank value leads it. The key that is counted
+    over the corpus is the hash of all tokens that the symbol may reach, which the window holds too: it is
+    rarer than the symbol's own tokens. A place counts once, however many windows it leads; two places in
+    one stretch (periodic text) count as two.
+    """
     first = runs(h, text)
     top = first
     for level in range(1, ROUNDS + 1):
         top = pairs(top, level)
     n = len(h)
-    got = np.full(n, NONE)
+    sums = prefix_sums(h)
+    taken = np.zeros(n, bool)
     is_start = np.zeros(n, bool)
     is_start[starts] = True
-    led, where = [], []
-    for s, reach, rank in ((top, REACH[0], 0), (first, REACH[1], 1), (None, REACH[2], 3)):
-        open_ = is_start & (got == NONE)
+    out = []
+    for s, reach, rank in ((top, REACH[0], 0), (first, REACH[1], 1), (None, REACH[2], 2)):
+        open_ = is_start & ~taken
         if not open_.any():
             break
         if s is None:
-            at, value = np.arange(n), (mix(h) >> U(4)) | (U(rank) << U(62))
+            at, value = np.arange(n), mix(h)
         else:
-            fit = (s.lo >= 0) & (s.hi <= n) & (s.hi - s.lo <= reach)
-            # longer symbols lead: they are rarer, so fewer windows need the second look
+            fit = (s.lo >= 0) & (s.hi <= n) & (s.hi - s.lo <= reach) & (s.lo + reach <= n)
+            # longer symbols lead: they are rarer
             at, name, size = s.lo[fit], s.name[fit], s.size[fit]
-            value = (mix(name) >> U(4)) | (U(rank) << U(62)) | (np.clip(4 - size, 0, 3).astype(U) << U(60))
+            value = (mix(name) >> U(4)) | (np.clip(4 - size, 0, 3).astype(U) << U(60))
         best = np.full(n, NONE)
         np.minimum.at(best, at, value)
         width = window - reach + 1
-        mine = np.where(open_, _slide(best, width), NONE)
-        got = np.minimum(got, mine)
-        if rank:  # few windows get here: look only at places near them
-            near = np.concatenate(([0], np.cumsum(mine != NONE)))
-            some = near[at + 1] > near[np.maximum(at - width + 1, 0)]
-            at, value = at[some], value[some]
+        leader = np.where(open_, _slide(best, width), NONE)
+        taken |= leader != NONE
+        near = np.concatenate(([0], np.cumsum(leader != NONE)))
+        some = near[at + 1] > near[np.maximum(at - width + 1, 0)]
+        at, value = at[some], value[some]
         leads = np.zeros(len(at), bool)
         for back in range(width):
-            leads |= (at >= back) & (mine[at - back] == value)
-        led.append(value[leads])
-        where.append(text[at[leads]])
-    none = np.zeros(0, U)
-    return got[starts], np.concatenate([none, *led]), np.concatenate([np.zeros(0, np.int64), *where])
+            start = at - back
+            leads |= (start >= 0) & (leader[np.maximum(start, 0)] == value)
+        at, value = at[leads], value[leads]
+        key = mix(span_hash(sums, at, at + reach) + U(rank))
+        out.append(Places(at, value, key, text[at], width, leader))
+    return out
 
 
 class Batch:
@@ -151,18 +173,21 @@ class Batch:
         base = np.concatenate(([0], np.cumsum(n_windows)))[:-1]
         self.pos = np.arange(len(self.owner)) - base[self.owner]  # start within its text
         self.starts = self.pos + w.first[self.owner]
-        empty = np.zeros(0, U), np.zeros(0, U), np.zeros(0, np.int64)
-        self.anchor, self.led, self.led_by = anchors(self.h, self.text, self.starts, window) if len(self.starts) else empty
+        self.places = anchors(self.h, self.text, self.starts, window) if len(self.starts) else []
+
+    def led_by(self, chosen) -> np.ndarray:
+        """Indices of the windows led by places for which chosen(key, text) holds."""
+        mark = np.zeros(len(self.h) + 1, bool)
+        for p in self.places:
+            mark[p.led(chosen(p.key, p.text))] = True
+        return np.flatnonzero(mark[self.starts])
 
     def hashes(self) -> tuple[np.ndarray, np.ndarray]:
         """128 bits of every window."""
-        if not len(self.starts):
-            return np.zeros(0, U), np.zeros(0, U)
         a = prefix_sums(self.h)
         b = prefix_sums(mix(self.h ^ U(0x5851F42D4C957F2D)))
-        inv = powers(len(a), True)[self.starts]
         s, e = self.starts, self.starts + self.window
-        return mix((a[e] - a[s]) * inv), mix((b[e] - b[s]) * inv)
+        return mix(span_hash(a, s, e)), mix(span_hash(b, s, e))
 
 
 def _batches(frames: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, list[bytes]]]:
@@ -182,10 +207,11 @@ def shared_anchors(docs: DataFrame, window: int) -> DataFrame:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame, texts in _batches(frames):
             b = Batch(texts, window)
-            if not len(b.anchor):
+            if not b.places:
                 continue
-            order = np.argsort(b.led, kind="stable")
-            names, owner = b.led[order], b.led_by[order]
+            names, owner = np.concatenate([p.key for p in b.places]), np.concatenate([p.text for p in b.places])
+            order = np.argsort(names, kind="stable")
+            names, owner = names[order], owner[order]
             cut = np.flatnonzero(np.concatenate(([True], names[1:] != names[:-1])))
             times = np.diff(np.append(cut, len(names)))
             ids = _ids(frame)
@@ -203,23 +229,32 @@ def shared_anchors(docs: DataFrame, window: int) -> DataFrame:
     return again.groupBy("doc_id").agg(F.collect_set("anchor").alias("anchors"))
 
 
+#: A window in a chunk: 96 bits of its hash, and its place in the chunk.
+_BODY = np.dtype([("a", "<u8"), ("b", "<u4"), ("at", "<u2")])
 _PIECES = "kind int, key1 long, key2 long, doc_id long, pos int, n int, body binary"
 
 
+def _at_home(key: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """A key together with the text it stands in."""
+    return mix(key ^ (text.astype(U) * U(0xD6E8FEB86659FD93)))
+
+
 def _windows(frames: Iterator[pd.DataFrame], window: int) -> Iterator[pd.DataFrame]:
     """Windows under shared anchors, in chunks; kind 0: already known to be repeats, 1: chunks."""
     for frame, texts in _batches(frames):
         b = Batch(texts, window)
-        if not len(b.anchor):
+        if not b.places:
             continue
         ids = _ids(frame)
         mine = [np.asarray(a, np.int64) for a in frame["anchors"]]
         doc = np.repeat(np.arange(len(mine)), [len(a) for a in mine])
-        wanted = np.unique(mix(np.concatenate(mine).view(U) ^ (doc.astype(U) * U(0xD6E8FEB86659FD93))))
-        own = mix(b.anchor ^ (b.owner.astype(U) * U(0xD6E8FEB86659FD93)))
-        spot = np.searchsorted(wanted, own)
-        spot[spot == len(wanted)] = 0
-        pick = np.flatnonzero(wanted[spot] == own)
+        wanted = np.unique(_at_home(np.concatenate(mine).view(U), doc))
+
+        def shared(key: np.ndarray, text: np.ndarray, wanted=wanted) -> np.ndarray:
+            own = _at_home(key, text)
+            return wanted[np.minimum(np.searchsorted(wanted, own), len(wanted) - 1)] == own
+
+        pick = b.led_by(shared)
         if not len(pick):
             continue
         h1, h2 = b.hashes()
@@ -235,7 +270,9 @@ def _windows(frames: Iterator[pd.DataFrame], window: int) -> Iterator[pd.DataFra
         # chunks: cut between windows where they are not neighbours, and where the content says so
         gap = np.concatenate(([True], (owner[1:] != owner[:-1]) | (pos[1:] != pos[:-1] + 1)))
         cut = gap | ((h1 & U(15)) == 0)
-        at = np.flatnonzero(cut)
+        # periodic text may go long without a cut: offsets must fit 16 bits
+        since = np.arange(len(pick)) - np.maximum.accumulate(np.where(cut, np.arange(len(pick)), 0))
+        at = np.flatnonzero(cut | ((since & 0xFFFF) == 0xFFFF))
         size = np.diff(np.append(at, len(pick)))
         sums1 = prefix_sums(h1)
         sums2 = prefix_sums(h2)
@@ -246,8 +283,8 @@ def _windows(frames: Iterator[pd.DataFrame], window: int) -> Iterator[pd.DataFra
         left = np.add.reduceat(fresh.astype(np.int64), at)
         yield _known_ranges(ids[owner], pos, known)
         live = np.flatnonzero(left > 0)
-        packed = np.empty((len(pick), 3), "<i8")
-        packed[:, 0], packed[:, 1], packed[:, 2] = h1.view(np.int64), h2.view(np.int64), pos
+        packed = np.empty(len(pick), _BODY)
+        packed["a"], packed["b"], packed["at"] = h1, h2 >> U(32), pos - np.repeat(pos[at], size)
         bodies = []
         for i in live:
             part = slice(at[i], at[i] + size[i])
@@ -274,9 +311,18 @@ def _open(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"kind": 0, "key1": done["doc_id"], "key2": done["pos"].astype("int64"), "doc_id": done["doc_id"], "pos": done["pos"], "n": done["n"]})
         opened = f[first]
         if len(opened):
-            raw = [np.frombuffer(x, "<i8").reshape(-1, 3) for x in opened["body"]]
-            every = np.concatenate(raw)
-            yield pd.DataFrame({"kind": 2, "key1": every[:, 0], "key2": every[:, 1], "doc_id": np.repeat(opened["doc_id"].to_numpy(), [len(r) for r in raw]), "pos": every[:, 2], "n": 1})
+            lens = np.fromiter(map(len, opened["body"]), np.int64) // _BODY.itemsize
+            every = np.frombuffer(b"".join(opened["body"]), _BODY)
+            yield pd.DataFrame(
+                {"kind": 2, "key1": np.ascontiguousarray(every["a"]).view(np.int64), "key2": every["b"].astype(np.int64), "doc_id": np.repeat(opened["doc_id"].to_numpy(), lens), "pos": np.repeat(opened["pos"].to_numpy(), lens) + every["at"], "n": 1}
+            )
+
+
+def plain(docs: DataFrame) -> DataFrame:
+    """(doc_id long, text). A cast where none is needed would keep Spark from sharing the exchange of texts."""
+    if dict(docs.dtypes)["doc_id"] == "bigint":
+        return docs.select("doc_id", "text")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
 
 def repeats(docs: DataFrame, window: int = 20) -> DataFrame:
@@ -340,7 +386,6 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
     An empty table gives an empty result. Other columns are ignored, whatever their names.
     """
     ship(docs.sparkSession)
-    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
@@ -349,11 +394,11 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
                 {"doc_id": f["doc_id"].astype("Int64"), "n_words": [g[0] for g in got], "n_removed": [g[1] for g in got], "kept": [g[2].decode("utf-8", "surrogatepass") for g in got]}
             )
 
-    return _with_spans(plain, window).mapInPandas(run, "doc_id long, n_words long, n_removed long, kept string")
+    return _with_spans(plain(docs), window).mapInPandas(run, "doc_id long, n_words long, n_removed long, kept string")
 
 
 def op7(spark, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = plain(table(spark, sf_dir, "documents"))
     ship(spark)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
