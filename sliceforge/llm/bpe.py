@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from sliceforge.runtime import ship, table
 
 #: Pieces kept for each worker before the table is emptied.
-KEPT = 300_000
+KEPT = 700_000
 #: White space other than space and line feed (fixed values: Unicode White_Space and what str.isspace adds).
 _RARE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
 
@@ -94,42 +94,50 @@ class Codec:
             self.token_at[i] = t
             self.rank_at[i] = self.ranks[t]
         self.pieces: dict[str, tuple[int, ...]] = {}
+        self.byte_id = [self.ranks[bytes([b])] for b in range(256)]
+        #: Token of every two tokens that make one, by both ids in one number.
+        self.pair: dict[int, int] = {}
+        for t, i in self.ranks.items():
+            for cut in range(1, len(t)):
+                a, b = self.ranks.get(t[:cut]), self.ranks.get(t[cut:])
+                if a is not None and b is not None:
+                    self.pair[a << 32 | b] = i
 
     def merge(self, piece: bytes) -> list[int]:
-        """Tier two: repeatedly joins the pair of lowest rank, the leftmost of equal ones."""
-        ranks = self.ranks
-        n = len(piece)
+        """Tier two: repeatedly joins the pair of lowest rank, the leftmost of equal ones.
+
+        A heap entry is rank and place in one number; it holds while the place's pair still has that rank.
+        """
+        pair, n = self.pair, len(piece)
+        ids = [self.byte_id[b] for b in piece]
         after = list(range(1, n + 1))
         before = list(range(-1, n - 1))
-        part: list[bytes | None] = [piece[i : i + 1] for i in range(n)]
-        heap = []
-        for i in range(n - 1):
-            r = ranks.get(piece[i : i + 2])
-            if r is not None:
-                heap.append((r, i, 2))
+        rank = [pair.get(a << 32 | b, -1) for a, b in zip(ids, ids[1:], strict=False)]
+        rank.append(-1)
+        heap = [r << 32 | i for i, r in enumerate(rank) if r >= 0]
         heapify(heap)
         while heap:
-            r, i, size = heappop(heap)
-            left = part[i]
-            if left is None:
-                continue
+            top = heappop(heap)
+            i, r = top & 0xFFFFFFFF, top >> 32
+            if rank[i] != r:
+                continue  # one of the two has grown or is gone
             j = after[i]
-            if j >= n or len(left) + len(part[j]) != size:
-                continue  # one of the two has grown since
-            whole = left + part[j]
-            part[i], part[j] = whole, None
             k = after[i] = after[j]
+            ids[i] = r
+            ids[j] = rank[j] = -1
             if k < n:
                 before[k] = i
-                r = ranks.get(whole + part[k])
-                if r is not None:
-                    heappush(heap, (r, i, size + len(part[k])))
+                new = rank[i] = pair.get(r << 32 | ids[k], -1)
+                if new >= 0:
+                    heappush(heap, new << 32 | i)
+            else:
+                rank[i] = -1
             h = before[i]
             if h >= 0:
-                r = ranks.get(part[h] + whole)
-                if r is not None:
-                    heappush(heap, (r, h, size + len(part[h])))
-        return [ranks[p] for p in part if p is not None]
+                new = rank[h] = pair.get(ids[h] << 32 | r, -1)
+                if new >= 0:
+                    heappush(heap, new << 32 | h)
+        return [i for i in ids if i >= 0]
 
     def resolve(self, pieces: list[str]) -> list[tuple[int, ...]]:
         """Token ids of distinct pre-tokens: the perfect hash first, the heap for what it misses."""
@@ -139,13 +147,15 @@ class Codec:
         tokens = self.token_at
         return [(r,) if i >= 0 and tokens[i] == b else tuple(self.merge(b)) for b, i, r in zip(raw, at.tolist(), ranks, strict=True)]
 
-    def learn(self, pieces: set[str]) -> None:
-        """Resolves pieces that the table lacks."""
-        new = [p for p in pieces if p not in self.pieces]
-        if len(self.pieces) + len(new) > KEPT:
-            self.pieces.clear()
-            new = list(pieces)
-        self.pieces.update(zip(new, self.resolve(new), strict=True))
+    def known(self, pieces: list[str]) -> list[tuple[int, ...]]:
+        """Token ids of distinct pre-tokens, through the table of those met before."""
+        have = self.pieces
+        new = [p for p in pieces if p not in have]
+        if len(have) + len(new) > KEPT:
+            have.clear()
+            new = pieces
+        have.update(zip(new, self.resolve(new), strict=True))
+        return list(map(have.__getitem__, pieces))
 
     def split(self, text: str) -> list[str]:
         """The matches of the pattern, as one string each."""
@@ -153,11 +163,9 @@ class Codec:
 
     def encode(self, text: str) -> list[int]:
         pieces = self.split(text)
-        self.learn(set(pieces))
-        out: list[int] = []
-        for p in map(self.pieces.__getitem__, pieces):
-            out += p
-        return out
+        names = list(set(pieces))
+        ids = dict(zip(names, self.known(names), strict=True))
+        return [i for p in pieces for i in ids[p]]
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
@@ -220,10 +228,23 @@ def _text_table(path: str, pattern: str) -> tuple[Codec, ChunkTable]:
     c = codec(path, pattern)
     key = (path, pattern)
     if key not in _tables:
-        _tables[key] = ChunkTable(c.split, c.resolve, tuple)
+        _tables[key] = ChunkTable(c.split, c.known, tuple)
     return c, _tables[key]
 
 
+_digest_tables: dict[tuple[str, str], tuple] = {}
+
+
+def _digest_table(path: str, pattern: str) -> tuple[Codec, ChunkTable, dict[str, bytes]]:
+    """A worker's table of chunks as written ids, and the bytes of each written id."""
+    key = (path, pattern)
+    if key not in _digest_tables:
+        c = codec(path, pattern)
+        chunks = ChunkTable(c.split, c.known, lambda ids: (len(ids), " ".join(map(str, ids))))
+        _digest_tables[key] = c, chunks, {str(i): t for i, t in c.bytes_of.items()}
+    return _digest_tables[key]
+
+
 def _groups(values, limit: int = 1 << 20) -> Iterator[list[str]]:
     group, size = [], 0
     for t in values:
@@ -286,9 +307,7 @@ def digests(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN
     ship(docs.sparkSession)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        c = codec(path, pattern)
-        chunks = ChunkTable(c.split, c.resolve, lambda ids: (len(ids), " ".join(map(str, ids))))
-        names = {str(i): t for i, t in c.bytes_of.items()}
+        c, chunks, names = _digest_table(path, pattern)
         for f in frames:
             rows = []
             for group in _groups(f["text"]):

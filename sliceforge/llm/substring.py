@@ -216,9 +216,9 @@ def shared_anchors(docs: DataFrame, window: int) -> DataFrame:
             times = np.diff(np.append(cut, len(names)))
             ids = _ids(frame)
             lone = times == 1
-            yield pd.DataFrame({"anchor": names[cut[lone]].view(np.int64), "docs": list(ids[owner[cut[lone]]][:, None]), "n": 1})
+            yield pd.DataFrame({"anchor": names[cut[lone]].view(np.int64), "docs": pd.Series([[i] for i in ids[owner[cut[lone]]].tolist()], dtype=object), "n": 1})
             many = np.flatnonzero(~lone)
-            yield pd.DataFrame({"anchor": names[cut[many]].view(np.int64), "docs": [np.unique(ids[owner[cut[i] : cut[i] + times[i]]]) for i in many], "n": 2})
+            yield pd.DataFrame({"anchor": names[cut[many]].view(np.int64), "docs": pd.Series([sorted(set(ids[owner[cut[i] : cut[i] + times[i]]].tolist())) for i in many], dtype=object), "n": 2})
 
     seen = docs.filter("doc_id IS NOT NULL").mapInPandas(run, "anchor long, docs array<long>, n int")
     again = (
