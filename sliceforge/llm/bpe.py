@@ -181,33 +181,45 @@ class ChunkTable:
 
     def __init__(self, split, resolve, value, kept: int = KEPT):
         self.split, self.resolve, self.value, self.kept = split, resolve, value, kept
-        self.chunks: dict[str, object] = {}
+        self.rest: dict[str, object] = {}  # what stands after a space
+        self.first: dict[str, object] = {}  # what begins a text
+        self.alone: dict[str, object] = {}  # pre-tokens of texts that are not cut at spaces
 
     def __call__(self, texts: list[str]) -> list[list]:
         """For each text the values of its chunks, in order."""
-        parts = [self._chunks(t) for t in texts]
-        have = self.chunks
-        new = {c for p in parts for c in p if c not in have}
-        if new:
-            if len(have) + len(new) > self.kept:
-                have.clear()
-                new = {c for p in parts for c in p}
-            names = list(new)
-            pieces = [self.split(c) if i else [c] for c, i in ((c[1:], c[0] == "t") for c in names)]
-            flat = list({x for p in pieces for x in p})
-            ids = dict(zip(flat, self.resolve(flat), strict=True))
-            for name, p in zip(names, pieces, strict=True):
-                have[name] = self.value([i for x in p for i in ids[x]])
-        return [list(map(have.__getitem__, p)) for p in parts]
-
-    def _chunks(self, text: str) -> list[str]:
-        """Chunks marked t (to be split by the pattern) or whole pre-tokens marked p."""
-        if not text:
-            return []
-        if odd(text):
-            return ["p" + x for x in self.split(text)]
-        first, *rest = text.split(" ")
-        return ["t" + first, *map("t ".__add__, rest)]  # a final space leaves a last chunk of its own
+        cut = [(self.split(t), True) if odd(t) else (t.split(" "), False) for t in texts]
+        rest, first, alone = set(), set(), set()
+        for words, whole in cut:
+            if whole:
+                alone.update(words)
+            else:
+                first.add(words[0])
+                rest.update(words)
+        self._learn(self.rest, rest, " ", self.split)
+        self._learn(self.first, first, "", self.split)
+        self._learn(self.alone, alone, "", lambda c: [c])
+        out = []
+        for words, whole in cut:
+            if whole:
+                out.append(list(map(self.alone.__getitem__, words)))
+            else:
+                values = list(map(self.rest.__getitem__, words))
+                values[0] = self.first[words[0]]
+                out.append(values)
+        return out
+
+    def _learn(self, have: dict, names: set[str], lead: str, split) -> None:
+        new = names - have.keys()
+        if len(have) + len(new) > self.kept:
+            have.clear()
+            new = names
+        if not new:
+            return
+        order = list(new)
+        pieces = [split(lead + c) if lead + c else [] for c in order]
+        flat = list({x for p in pieces for x in p})
+        ids = dict(zip(flat, self.resolve(flat), strict=True))
+        have.update((c, self.value([i for x in p for i in ids[x]])) for c, p in zip(order, pieces, strict=True))
 
 
 _codecs: dict[tuple[str, str], Codec] = {}
