@@ -11,6 +11,7 @@ from sliceforge.llm.bpe import op5
 from sliceforge.llm.media import op8
 from sliceforge.llm.packing import op10
 from sliceforge.llm.preference import OP6_SQL, op6
+from sliceforge.llm.quality import op3
 from sliceforge.llm.secrets import op4
 from sliceforge.llm.simhash import op9
 from sliceforge.llm.substring import op7
@@ -19,6 +20,7 @@ from sliceforge.llm.toxicity import op2
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ann": op1,
     "op2_toxicity": op2,
+    "op3_quality": op3,
     "op4_secrets": op4,
     "op5_bpe": op5,
     "op6_preference": op6,
