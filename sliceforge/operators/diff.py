@@ -55,8 +55,8 @@ def modified_lines(diff_lines: DataFrame, key: str = "patch_id", strict_headers:
     lines gets the context lines next to its added ones (the first hunk that has any).
     """
     walked = _walked(diff_lines, key, strict_headers)
-    removed = walked.filter("tag = '-'").select(key, "file", F.lit("vulnerable").alias("version"), F.col("old").alias("line"))
-    added = walked.filter("tag = '+'").select(key, "file", F.lit("fixed").alias("version"), F.col("new").alias("line"))
+    removed = walked.filter("tag = '-'").select(key, "file", F.lit("vulnerable").alias("version"), F.col("old").cast("int").alias("line"))
+    added = walked.filter("tag = '+'").select(key, "file", F.lit("fixed").alias("version"), F.col("new").cast("int").alias("line"))
     out = removed.unionByName(added)
     if fill:
         out = out.unionByName(context_lines(walked, key, window).select(key, "file", F.lit("vulnerable").alias("version"), "line"))
@@ -80,4 +80,4 @@ def context_lines(walked: DataFrame, key: str = "patch_id", window: int = 2) ->
     )
     first_seg = kept.groupBy(key, "file").agg(F.min("seg").alias("seg"))
     with_removed = walked.filter("tag = '-'").select(key, "file").distinct()
-    return kept.join(first_seg, [key, "file", "seg"]).join(with_removed, [key, "file"], "left_anti").select(key, "file", F.col("old").alias("line"))
+    return kept.join(first_seg, [key, "file", "seg"]).join(with_removed, [key, "file"], "left_anti").select(key, "file", F.col("old").cast("int").alias("line"))
