@@ -13,6 +13,12 @@ def _state(edges: DataFrame) -> tuple[int, int]:
     return row.n, row.x or 0
 
 
+def _named(stars: DataFrame) -> DataFrame:
+    """Each node with its centre; a centre names itself."""
+    centres = stars.select(F.col("v").alias("node")).distinct()
+    return stars.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(centres.withColumn("component", F.col("node")))
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """edges (u long, v long) -> (node long, component long), component = smallest node reachable.
 
@@ -29,7 +35,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     )
     before = _state(cur)
     if before[0] == 0:
-        return cur.select(F.col("u").alias("node"), F.col("v").alias("component"))
+        return _named(cur)
     for _ in range(max_rounds):
         # large star: every larger neighbour of u moves to the smallest neighbour of u
         both = cur.union(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -55,4 +61,4 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         before = after
     else:
         raise RuntimeError("components did not settle; raise max_rounds")
-    return cur.select(F.col("u").alias("node"), F.col("v").alias("component"))
+    return _named(cur)
