@@ -86,7 +86,12 @@ def format_pairs(conversations: DataFrame, pairs: DataFrame) -> DataFrame:
     whole = turns_of(conversations)
     a = whole.select(F.col("conv_id").alias("chosen_id"), F.col("turns").alias("chosen"))
     b = whole.select(F.col("conv_id").alias("rejected_id"), F.col("turns").alias("rejected"))
-    both = pairs.select("chosen_id", "rejected_id").join(a, "chosen_id").join(b, "rejected_id").withColumn("shared", prefix_length(F.col("chosen"), F.col("rejected")))
+    return format_turns(pairs.select("chosen_id", "rejected_id").join(a, "chosen_id").join(b, "rejected_id"))
+
+
+def format_turns(sides: DataFrame) -> DataFrame:
+    """(chosen_id, rejected_id, chosen, rejected) with the turns of both sides -> what format_pairs returns."""
+    both = sides.withColumn("shared", prefix_length(F.col("chosen"), F.col("rejected")))
     rest_a = F.slice("chosen", F.col("shared") + 1, F.greatest(F.size("chosen"), F.lit(1)))
     rest_b = F.slice("rejected", F.col("shared") + 1, F.greatest(F.size("rejected"), F.lit(1)))
     head = F.slice("chosen", F.lit(1), F.col("shared"))
@@ -105,7 +110,7 @@ def format_pairs(conversations: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def op6(spark, sf_dir: str) -> DataFrame:
     talks = table(spark, sf_dir, "conversations")
-    out = format_pairs(talks, all_pairs(talks))
+    out = format_turns(adjacent_pairs(talks))
     ones = lambda c: F.aggregate(F.filter(c, lambda r: r["value"] == 1), F.lit(0).cast("long"), lambda s, r: s + r["n"])
     return out.select(
         "chosen_id",
@@ -119,10 +124,27 @@ def op6(spark, sf_dir: str) -> DataFrame:
     )
 
 
-def all_pairs(conversations: DataFrame) -> DataFrame:
-    """Every conversation takes part: neighbours by conv_id (even id chosen, next odd id rejected)."""
-    ids = conversations.filter("conv_id IS NOT NULL AND turn IS NOT NULL").select(F.col("conv_id").cast("long").alias("conv_id")).distinct()
-    return ids.filter("conv_id % 2 = 0").select(F.col("conv_id").alias("chosen_id"), (F.col("conv_id") + 1).alias("rejected_id"))
+def adjacent_pairs(conversations: DataFrame) -> DataFrame:
+    """Neighbours by conv_id (even id chosen, next odd id rejected) with their turns: one shuffle, on the pair.
+
+    Rows are taken as turns_of takes them; a conversation without its neighbour gives no row.
+    """
+    pair = F.expr("shiftright(CAST(conv_id AS BIGINT), 1)")
+    turn = F.struct(F.col("turn").cast("long").alias("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    odd = F.expr("CAST(conv_id AS BIGINT) & 1")
+    both = (
+        conversations.filter("conv_id IS NOT NULL AND turn IS NOT NULL")
+        .select(pair.alias("pair"), F.struct(odd.alias("odd"), turn.alias("t")).alias("side"))
+        .groupBy("pair")
+        .agg(F.array_sort(F.collect_set("side")).alias("sides"))
+    )
+
+    def side(parity: int) -> Column:
+        return F.transform(F.filter("sides", lambda s: s["odd"] == parity), lambda s: s["t"])
+
+    return both.select((F.col("pair") * 2).alias("chosen_id"), (F.col("pair") * 2 + 1).alias("rejected_id"), side(0).alias("chosen"), side(1).alias("rejected")).filter(
+        (F.size("chosen") > 0) & (F.size("rejected") > 0)
+    )
 
 
 OP6_SQL = """

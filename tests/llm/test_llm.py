@@ -174,6 +174,12 @@ def test_preference(spark):
     assert [(r.chosen_id, r.prompt_turns) for r in out] == [(1, 1), (3, 1)]
     assert out[0].prompt == "<|user|>\nq\n<|end|>\n" and "good" in out[0].chosen and "bad" in out[0].rejected and out[1].chosen == ""
     assert preference.pairs_by_prompt(conv).count() == 2
+    odd = [(-2, 0, "user", "q"), (-1, 0, "user", None), (2, 0, "user", "q"), (2, 0, "user", "q"), (3, 1, None, "z"), (3, 0, "user", "q"), (4, 0, "user", "q"), (None, 0, "user", "z")]
+    near = preference.adjacent_pairs(spark.createDataFrame(odd, conv.schema))
+    assert sorted((r.chosen_id, r.rejected_id, len(r.chosen), len(r.rejected)) for r in near.collect()) == [(-2, -1, 1, 1), (2, 3, 1, 2)]
+    asked = spark.createDataFrame([(-2, -1), (2, 3)], "chosen_id long, rejected_id long")
+    assert sorted(preference.format_turns(near).collect()) == sorted(preference.format_pairs(spark.createDataFrame(odd, conv.schema), asked).collect())
+    assert preference.adjacent_pairs(conv.limit(0)).count() == 0
 
 
 def test_quality_probabilities(spark):
