@@ -11,7 +11,6 @@ from __future__ import annotations
 import json
 import zlib
 from collections.abc import Iterator
-from struct import Struct
 
 import numpy as np
 import pandas as pd
@@ -22,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from sliceforge.llm.bpe import ChunkTable, _groups, odd
+from sliceforge.llm.bpe import _groups, odd
 from sliceforge.llm.textkit import NON_LETTERS, U, Words, utf8
 from sliceforge.runtime import materialize, ship, table
 
@@ -97,44 +96,27 @@ def _ranked(path: str) -> tiktoken.Encoding | None:
 
 
 def _encoder(path: str) -> tuple:
-    """A worker's tokenizer and its table of chunks; ids are kept as bytes of two or four a piece."""
+    """A worker's tokenizer, its faster equal (or None), the texts of special tokens and the number type of ids."""
     if path not in _encoders:
         t = Tokenizer.from_file(path)
         width = "<u2" if t.get_vocab_size() <= 1 << 16 else "<u4"
-        special = [a.content for a in t.get_added_tokens_decoder().values()]
-        ranked = _ranked(path)
-
-        def resolve(pieces: list[str]) -> list[list[int]]:
-            if ranked is not None:
-                return list(map(ranked.encode_ordinary, pieces))
-            return [e.ids for e in t.encode_batch(pieces, add_special_tokens=False)]
-
-        packed = Struct if width == "<u2" else None
-        chunks = ChunkTable(lambda c: [c], resolve, lambda ids: np.array(ids, width).tobytes() if packed is None else packed(f"<{len(ids)}H").pack(*ids))
-        _encoders[path] = (t, chunks, special, width)
+        _encoders[path] = (t, _ranked(path), [a.content for a in t.get_added_tokens_decoder().values()], width)
     return _encoders[path]
 
 
 def token_bytes(texts: list[str], path: str) -> tuple[list[bytes], str]:
-    """Packed ids of each text, as the library gives them, and their number type."""
-    t, chunks, special, width = _encoder(path)
-    plain = [not any(s in x for s in special) for x in texts]
-    out: list[bytes] = [b""] * len(texts)
-    easy = [i for i, p in enumerate(plain) if p]
-    for i, parts in zip(easy, _chunked(chunks, [texts[i] for i in easy], t), strict=True):
-        out[i] = b"".join(parts)
-    for i, p in enumerate(plain):
-        if not p:
-            out[i] = np.array(t.encode(texts[i], add_special_tokens=False).ids, width).tobytes()
-    return out, width
-
-
-def _chunked(chunks: ChunkTable, texts: list[str], t) -> Iterator[list[bytes]]:
-    """Texts where a space may be no border go to the library whole."""
-    alone = [odd(x) for x in texts]
-    values = iter(chunks([x for x, o in zip(texts, alone, strict=True) if not o]))
-    for x, o in zip(texts, alone, strict=True):
-        yield [chunks.value(t.encode(x, add_special_tokens=False).ids)] if o else next(values)
+    """Packed ids of each text, as the library gives them, and their number type.
+
+    Texts with runs of white space or the text of a special token go to the library itself.
+    """
+    t, ranked, special, width = _encoder(path)
+
+    def ids(text: str) -> list[int]:
+        if ranked is None or odd(text) or any(s in text for s in special):
+            return t.encode(text, add_special_tokens=False).ids
+        return ranked.encode_ordinary(text)
+
+    return [np.array(ids(x), width).tobytes() for x in texts], width
 
 
 def tokenized(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
