@@ -1,40 +1,44 @@
 """Quality by perplexity under an interpolated modified Kneser-Ney model of trusted text.
 
-Tokens are characters folded to 32 symbols (letters without case and common accents' bytes by hash, one
-digit class, one blank, one class for the rest), in n-grams of order 4. So there are at most 32**4
-n-grams whatever the corpus, and the model's table has a proven size (one float each). Counts of all
-trusted text are summed by Spark; the orders are joined by context in shards of the context's hash, and
-the joined table is broadcast, 4 MB. A document's perplexity is over all its characters.
+Tokens are bytes of the lower-cased text (white space as one blank, digits as one digit) in n-grams of
+order 5, each an exact 40-bit number. Counts of all trusted text are summed by Spark. The documents are
+taken in batches of bounded size; a batch sends each of its n-grams once. The n-grams met are joined, order
+by order, with the counts and context weights (shards are Spark's partitions by n-gram or context), and
+the log probabilities go back to the batches, which add them up document by document. Neither
+the counts nor the probabilities are ever in one place, so the model may grow with the corpus.
 
 A document is kept if its perplexity is at most a quantile of the trusted documents of its language.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sliceforge.llm.textkit import slices, utf8
-from sliceforge.runtime import ship, table
+from sliceforge.llm.textkit import LOWER, SPACES, slices, utf8
+from sliceforge.runtime import materialize, ship, table
 
-ORDER = 4
-SYMBOLS = 32
+ORDER = 5
+SYMBOLS = 256
 KEEP = 0.995
+#: Bytes of text in a batch (one longer text stands alone).
+BATCH = 12 << 20
 #: Above this many labelled rows the labels are joined by a shuffle instead of a broadcast.
 BROADCAST_ROWS = 2_000_000
 
 
 def _folding() -> np.ndarray:
-    """Byte to symbol: 0 blank, 1 to 26 letters, 27 digits, 28 other ASCII, 29 to 31 bytes of longer characters by value."""
-    t = np.full(256, 28, np.int64)
-    t[[32, 9, 10, 11, 12, 13, 0]] = 0
-    t[48:58] = 27
-    t[65:91] = t[97:123] = np.arange(1, 27)
-    t[128:] = 29 + np.arange(128) % 3
+    t = LOWER.astype(np.int64)
+    t[SPACES] = 32
+    t[48:58] = 48
     return t
 
 
@@ -42,13 +46,13 @@ _FOLD = _folding()
 
 
 def codes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(code of the 4-gram ending at each byte, borders of texts); a text begins after blanks."""
+    """(code of the n-gram ending at each byte, borders of texts); a text begins after blanks."""
     pad = b" " * (ORDER - 1)
     buf = np.frombuffer(b"".join(pad + t for t in texts), np.uint8)
     s = _FOLD[buf]
     code = s.copy()
     for k in range(1, ORDER):
-        code[k:] += s[:-k] << (5 * k)
+        code[k:] += s[:-k] << (8 * k)
     lens = np.fromiter(map(len, texts), np.int64, len(texts))
     ends = np.cumsum(lens + ORDER - 1)
     keep = np.ones(len(buf), bool)
@@ -57,6 +61,17 @@ def codes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return code[keep], np.concatenate(([0], np.cumsum(lens)))
 
 
+def distinct(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The different n-grams of some texts in ascending order, and how often each occurs."""
+    found, times = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for lo, hi in slices(texts, 2 << 20):
+        u, n = np.unique(codes(texts[lo:hi])[0], return_counts=True)
+        found.append(u)
+        times.append(n)
+    u, at = np.unique(np.concatenate(found), return_inverse=True)
+    return u, np.bincount(at, weights=np.concatenate(times), minlength=len(u)).astype(np.int64)
+
+
 def counts(trusted: DataFrame) -> DataFrame:
     """(text) -> (code, n) over all trusted texts: each batch sends each n-gram once."""
     ship(trusted.sparkSession)
@@ -64,10 +79,9 @@ def counts(trusted: DataFrame) -> DataFrame:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             texts = utf8(f["text"])
-            for lo, hi in slices(texts, 8 << 20):
-                n = np.bincount(codes(texts[lo:hi])[0], minlength=1)
-                at = np.flatnonzero(n)
-                yield pd.DataFrame({"code": at, "n": n[at]})
+            for lo, hi in slices(texts, BATCH):
+                u, n = distinct(texts[lo:hi])
+                yield pd.DataFrame({"code": u, "n": n})
 
     return trusted.select("text").mapInPandas(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
 
@@ -80,82 +94,153 @@ def _discounts(level: DataFrame) -> list[float]:
     return [min(max(d, 0.05), i + 0.95) for i, d in enumerate((1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3))]
 
 
-def model(trusted: DataFrame) -> np.ndarray:
-    """Log probabilities (base e) of the last symbol of every 4-gram, as one float32 for each code.
+def _last(k: int) -> F.Column:
+    """The n-gram of the last k symbols."""
+    return F.expr(f"code & {SYMBOLS**k - 1}L")
+
+
+def _context() -> F.Column:
+    return F.shiftright("code", 8)
+
 
-    Higher order: counts; lower orders: numbers of different symbols before. Discounted counts and
-    the weights of contexts are joined by context; n-grams that were never seen take the weight
-    of their context times the next lower order.
+def model(trusted: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
+    """For each order from 1: (code, own) and (context, weight), tables that grow with the trusted text.
+
+    Highest order: counts; lower orders: numbers of different symbols before. `own` is the discounted
+    share of an n-gram in its context, `weight` what the context leaves to the next lower order.
     """
-    top = counts(trusted)
-    levels = {ORDER: top}
+    levels = {ORDER: materialize(counts(trusted), "grams5")}
     for k in range(ORDER - 1, 0, -1):
         # a lower order counts in how many ways an n-gram is continued to the left
-        levels[k] = levels[k + 1].groupBy(F.pmod("code", F.lit(SYMBOLS**k)).alias("code")).agg(F.count(F.lit(1)).alias("n"))
-    prob = np.full(1, 1 / SYMBOLS)
+        levels[k] = materialize(levels[k + 1].groupBy(_last(k).alias("code")).agg(F.count(F.lit(1)).alias("n")), f"grams{k}")
+    out = []
     for k in range(1, ORDER + 1):
-        level = levels[k].withColumn("context", F.floor(F.col("code") / SYMBOLS))
-        d = _discounts(level)
+        d = _discounts(levels[k])
         cut = F.when(F.col("n") == 1, d[0]).when(F.col("n") == 2, d[1]).otherwise(d[2])
+        level = levels[k].select("code", "n", _context().alias("context"))
         context = level.groupBy("context").agg(F.sum("n").alias("total"), F.sum(cut).alias("spared"))
-        joined = level.join(context, "context").select("code", ((F.col("n") - cut) / F.col("total")).alias("own")).toPandas()  # at most SYMBOLS**k rows
-        weights = context.select("context", (F.col("spared") / F.col("total")).alias("weight")).toPandas()
-        back = np.ones(SYMBOLS ** (k - 1))
-        back[weights["context"].to_numpy(np.int64)] = weights["weight"]
-        size = SYMBOLS**k
-        lower = np.full(size, prob[0]) if k == 1 else prob[np.arange(size) % SYMBOLS ** (k - 1)]
-        now = np.repeat(back, SYMBOLS) * lower
-        now[joined["code"].to_numpy(np.int64)] += joined["own"].to_numpy()
-        prob = now
-    return np.log(np.maximum(prob, 1e-12)).astype(np.float32)
-
-
-def perplexities(logs: np.ndarray, texts: list[bytes]) -> np.ndarray:
-    """Perplexity of each text; an empty one has the alphabet's size."""
+        own = level.join(context, "context").select("code", ((F.col("n") - cut) / F.col("total")).alias("own"))
+        out.append((own, context.select("context", (F.col("spared") / F.col("total")).alias("weight"))))
+    return out
+
+
+def probabilities(asked: DataFrame, orders: list[tuple[DataFrame, DataFrame]]) -> DataFrame:
+    """Distinct n-grams (code) -> (code, p): the probability of the last symbol after the others."""
+    wanted = {len(orders): asked}
+    for k in range(len(orders) - 1, 0, -1):
+        wanted[k] = wanted[k + 1].select(_last(k).alias("code")).distinct()
+    p = None
+    for k, (own, weight) in enumerate(orders, 1):
+        rows = wanted[k].join(own, "code", "left").withColumn("context", _context()).join(weight, "context", "left")
+        if p is None:
+            rows = rows.withColumn("lower", F.lit(1 / SYMBOLS))
+        else:
+            shorter = p.select(F.col("code").alias("tail"), F.col("p").alias("lower"))
+            rows = rows.join(shorter, _last(k - 1) == F.col("tail"))
+        p = rows.select("code", (F.coalesce("own", F.lit(0.0)) + F.coalesce("weight", F.lit(1.0)) * F.col("lower")).alias("p"))
+        if 1 < k < len(orders):
+            p = materialize(p, f"p{k}")
+    return p
+
+
+def _batches(frames: Iterator[pd.DataFrame]) -> Iterator[tuple[int, int, pd.DataFrame, list[bytes]]]:
+    """(number, digest, rows, texts) of each batch of a partition; the same rows give the same batches."""
+    number = TaskContext.get().partitionId() << 32
+    for f in frames:
+        texts = utf8(f["text"])
+        for lo, hi in slices(texts, BATCH):
+            h = xxhash.xxh64()
+            for t in texts[lo:hi]:
+                h.update(len(t).to_bytes(8, "little") + t)
+            yield number, h.intdigest() >> 1, f.iloc[lo:hi], texts[lo:hi]
+            number += 1
+
+
+def grams(docs: DataFrame) -> DataFrame:
+    """docs (doc_id, lang, text) -> (batch, code): each n-gram of a batch once."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for number, _, _, texts in _batches(frames):
+            u, _ = distinct(texts)
+            yield pd.DataFrame({"batch": np.full(len(u), number), "code": u})
+
+    return docs.mapInPandas(run, "batch long, code long")
+
+
+def packs(docs: DataFrame) -> DataFrame:
+    """docs (doc_id, lang, text) -> (batch, payload): the rows of a batch, compressed."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for number, _, rows, texts in _batches(frames):
+            ids = [None if pd.isna(i) else int(i) for i in rows["doc_id"]]
+            payload = zstandard.compress(pickle.dumps((ids, list(rows["lang"]), texts)), 3)
+            yield pd.DataFrame({"batch": [number], "payload": [payload]})
+
+    return docs.mapInPandas(run, "batch long, payload binary")
+
+
+def perplexities(known: np.ndarray, logs: np.ndarray, texts: list[bytes]) -> np.ndarray:
+    """Perplexity of each text from the ascending n-grams `known` and their logs; an empty one has the alphabet's size."""
     out = np.full(len(texts), float(SYMBOLS))
-    for lo, hi in slices(texts, 2 << 20):
+    for lo, hi in slices(texts, 1 << 20):
         code, at = codes(texts[lo:hi])
-        total = np.concatenate(([0], np.cumsum(logs[code], dtype=np.float64)))
+        if not len(code):
+            continue
+        spot = np.searchsorted(known, code)
+        if not len(known) or spot.max() >= len(known) or (known[spot] != code).any():
+            raise ValueError("a batch was cut otherwise than when its n-grams were taken")
+        total = np.concatenate(([0], np.cumsum(logs[spot], dtype=np.float64)))
         n = np.diff(at)
         out[lo:hi] = np.where(n > 0, np.exp(-(total[at[1:]] - total[at[:-1]]) / np.maximum(n, 1)), SYMBOLS)
     return out
 
 
-def score(docs: DataFrame, logs: np.ndarray) -> DataFrame:
-    """docs -> doc_id, lang, n_chars, perplexity, a row for a row; null text counts as empty, null lang stays null."""
-    spark = docs.sparkSession
-    ship(spark)
-    held = spark.sparkContext.broadcast(logs)  # SYMBOLS**ORDER floats
+def score(docs: DataFrame, orders: list[tuple[DataFrame, DataFrame]]) -> DataFrame:
+    """docs -> doc_id, lang, perplexity, a row for a row; null text counts as empty, null lang stays null.
+
+    docs is read twice and must give the same partitions both times, as files do; a batch whose
+    n-grams do not agree raises an error.
+    """
+    ship(docs.sparkSession)
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text")
+    met = materialize(grams(own), "met")
+    p = probabilities(met.select("code").distinct(), orders)
+    answers = (
+        met.join(p, "code")
+        .groupBy("batch")  # as many as a batch has n-grams
+        .agg(F.array_sort(F.collect_list(F.struct("code", F.log(F.greatest("p", F.lit(1e-12))).cast("float").alias("log")))).alias("a"))
+        .select("batch", F.col("a.code").alias("codes"), F.col("a.log").alias("logs"))
+    )
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            texts = utf8(f["text"])
-            yield pd.DataFrame({"doc_id": f["doc_id"].astype("Int64"), "lang": f["lang"], "n_bytes": [len(t) for t in texts], "perplexity": perplexities(held.value, texts)})
+            for payload, known, logs in zip(f["payload"], f["codes"], f["logs"], strict=True):
+                ids, lang, texts = pickle.loads(zstandard.decompress(payload))
+                known, logs = (np.zeros(0, t) if x is None else np.asarray(x, t) for x, t in ((known, np.int64), (logs, np.float32)))
+                yield pd.DataFrame({"doc_id": pd.array(ids, "Int64"), "lang": lang, "perplexity": perplexities(known, logs, texts)})
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text").mapInPandas(run, "doc_id long, lang string, n_bytes long, perplexity double")
+    return packs(own).join(answers, "batch", "left").select("payload", "codes", "logs").mapInPandas(run, "doc_id long, lang string, perplexity double")
 
 
 def classify(docs: DataFrame, labels: DataFrame, keep: float = KEEP) -> DataFrame:
     """docs, labels (doc_id, quality) -> doc_id, lang, perplexity, threshold, kept int, a row for a row.
 
     Trusted text: documents labelled 1. The threshold of a language is the `keep` quantile of its trusted
-    documents' perplexity; a language without any uses the one over all; without trusted text all is kept.
+    documents' perplexity; a language without any uses the highest; without trusted text all is kept.
     Repeated rows are scored alike; an empty table gives an empty result; other columns are ignored.
     """
     good = labels.filter("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
     if good.count() <= BROADCAST_ROWS:
         good = F.broadcast(good)
     own = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
-    trusted = own.join(good, "doc_id", "left_semi")
-    logs = model(trusted)
-    by_lang = score(trusted, logs).groupBy("lang").agg(F.percentile_approx("perplexity", keep, 10000).alias("threshold"), F.count(F.lit(1)).alias("n"))
-    cuts = by_lang.collect()  # a row for a language
+    scored = materialize(score(own, model(own.join(good, "doc_id", "left_semi"))), "scored")
+    cuts = scored.join(good, "doc_id", "left_semi").groupBy("lang").agg(F.percentile_approx("perplexity", keep, 10000).alias("threshold")).collect()  # a row for a language
     overall = max([r.threshold for r in cuts], default=float("inf"))
     threshold = F.lit(overall)
     for r in cuts:
         if r.lang is not None:
             threshold = F.when(F.col("lang") == r.lang, F.lit(float(r.threshold))).otherwise(threshold)
-    out = score(own, logs).withColumn("threshold", F.coalesce(threshold, F.lit(overall)))
+    out = scored.withColumn("threshold", F.coalesce(threshold, F.lit(overall)))
     return out.select("doc_id", "lang", "perplexity", "threshold", (F.col("perplexity") <= F.col("threshold")).cast("int").alias("kept"))
 
 

@@ -182,9 +182,57 @@ def test_preference(spark):
     assert preference.adjacent_pairs(conv.limit(0)).count() == 0
 
 
-def test_quality_probabilities(spark):
-    logs = quality.model(docs(spark, [(i, "the cat sat on the mat and the dog ran " * 3) for i in range(5)]))
-    total = np.exp(logs.astype(float)).reshape(-1, quality.SYMBOLS).sum(1)
-    assert np.allclose(total, 1, atol=1e-3)
-    a, b, c = quality.perplexities(logs, [b"the dog sat on the mat", b"zq#x!!zz", b""])
-    assert a < b and c == quality.SYMBOLS
+def brute_kneser_ney(trusted, order):
+    """Probability function of an interpolated modified Kneser-Ney model over folded bytes, by dictionaries."""
+    fold = [bytes(quality._FOLD[list(t)].astype(np.uint8)) if t else b"" for t in trusted]
+    tables = {order: {}}
+    for t in fold:
+        t = b" " * (order - 1) + t
+        for i in range(len(t) - order + 1):
+            g = t[i : i + order]
+            tables[order][g] = tables[order].get(g, 0) + 1
+    for k in range(order - 1, 0, -1):
+        tables[k] = {}
+        for g in tables[k + 1]:
+            tables[k][g[1:]] = tables[k].get(g[1:], 0) + 1
+    cuts, totals, spared = {}, {}, {}
+    for k, grams in tables.items():
+        n = [max(1, sum(v == i for v in grams.values())) for i in (1, 2, 3, 4)]
+        y = n[0] / (n[0] + 2 * n[1])
+        raw = [i + 1 - (i + 2) * y * n[i + 1] / n[i] for i in range(3)]
+        cuts[k] = [min(max(d, 0.05), i + 0.95) for i, d in enumerate(raw)]
+        for g, v in grams.items():
+            c = g[:-1]
+            totals[c] = totals.get(c, 0) + v
+            spared[c] = spared.get(c, 0) + cuts[k][min(v, 3) - 1]
+
+    def p(g):
+        if not g:
+            return 1 / quality.SYMBOLS
+        v, c = tables[len(g)].get(g, 0), g[:-1]
+        if c not in totals:
+            return p(g[1:])
+        own = (v - cuts[len(g)][min(v, 3) - 1]) / totals[c] if v else 0
+        return own + spared[c] / totals[c] * p(g[1:])
+
+    return p
+
+
+def test_quality_matches_brute_force(spark):
+    base = [b"The cat sat on the mat and the dog ran 12 times", b"a dog\tran on the mat", b"", b"the end of the cat and of the dog"]
+    asked = [*base, b"zq#x!!zz", "ünï the dog".encode(), b"x"]
+    texts = docs(spark, [(i, t.decode()) for i, t in enumerate(asked)] + [(None, None), (0, asked[0].decode())])
+    labels = spark.createDataFrame([(i, 1) for i in range(len(base))] + [(4, 0), (None, 1)], "doc_id long, quality int")
+    got = quality.classify(texts, labels).collect()
+    assert len(got) == len(asked) + 2
+    p = brute_kneser_ney([*base, base[0]], quality.ORDER)  # the repeated row is trusted text as well
+    for c in (b"the ", b"zzzz", b"n th"):
+        assert np.isclose(sum(p(c + bytes([b])) for b in range(256)), 1)
+    for r in got:
+        t = bytes(quality._FOLD[list(asked[r.doc_id])].astype(np.uint8)) if r.doc_id is not None and asked[r.doc_id] else b""
+        t = b" " * (quality.ORDER - 1) + t
+        logs = [np.log(max(p(t[i : i + quality.ORDER]), 1e-12)) for i in range(len(t) - quality.ORDER + 1)]
+        want = np.exp(-np.mean(logs)) if logs else quality.SYMBOLS
+        assert np.isclose(r.perplexity, want, rtol=1e-4), (r, want)
+    assert quality.classify(texts.limit(0), labels).count() == 0
+    assert all(r.kept == 1 for r in quality.classify(texts, labels.limit(0)).collect())
