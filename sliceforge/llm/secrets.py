@@ -20,6 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -311,9 +312,12 @@ def redact_stage(docs: DataFrame) -> DataFrame:
     ship(spark)
     held = spark.sparkContext.broadcast(_net())
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            found = find_all(f["text"], held.value)
-            yield f.assign(text=[redact(t, s) if s else t for t, s in zip(f["text"], found, strict=True)])
+    # Arrow batches keep every other column as it is, whole numbers beside nulls included
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at = b.schema.get_field_index("text")
+            field, texts = b.schema.field(at), b.column(at).to_pylist()
+            found = find_all(texts, held.value)
+            yield b.set_column(at, field, pa.array([redact(t, s) if s else t for t, s in zip(texts, found, strict=True)], field.type))
 
-    return docs.mapInPandas(run, docs.schema)
+    return docs.mapInArrow(run, docs.schema)

@@ -29,8 +29,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from sliceforge.llm.textkit import U, Words, mix, powers, prefix_sums, slices, span_hash, utf8
 from sliceforge.runtime import ship, table
@@ -419,13 +421,15 @@ def strip_stage(docs: DataFrame, window: int = 20) -> DataFrame:
     found = repeats(named.select("doc_id", "text"), window)
     rows = named.select("doc_id", "text", carried.alias("carried")).join(found, "doc_id", "left")
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
+    # Arrow batches keep the carried columns as they are, whole numbers beside nulls included
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            text, spans = b.schema.get_field_index("text"), b.schema.get_field_index("spans")
             out = []
-            for t, s in zip(f["text"], f["spans"], strict=True):
+            for t, s in zip(b.column(text).to_pylist(), b.column(spans).to_pylist(), strict=True):
                 out.append(t if s is None else _strip(t.encode("utf-8", "surrogatepass"), s, window)[2].decode("utf-8", "surrogatepass"))
-            yield f.assign(text=out).drop(columns="spans")
+            field = b.schema.field(text)
+            yield b.set_column(text, field, pa.array(out, field.type)).select(["doc_id", "text", "carried"])
 
-    schema = f"doc_id long, text string, carried {rows.schema['carried'].dataType.simpleString()}"
-    done = rows.mapInPandas(run, schema)
+    done = rows.mapInArrow(run, StructType([rows.schema[c] for c in ("doc_id", "text", "carried")]))
     return done.select(*[F.col(c) if c in ("doc_id", "text") else F.col(f"carried.`{c}`").alias(c) for c in docs.columns])

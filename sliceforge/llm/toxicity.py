@@ -17,6 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -296,8 +297,10 @@ def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     ship(spark)
     held = spark.sparkContext.broadcast(model)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            yield f[score_texts(held.value, utf8(f["text"]))[0] < 0.5]
+    # Arrow batches keep every other column as it is, whole numbers beside nulls included
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = utf8(b.column(b.schema.get_field_index("text")).to_pylist())
+            yield b.filter(pa.array(score_texts(held.value, texts)[0] < 0.5))
 
-    return docs.mapInPandas(run, docs.schema)
+    return docs.mapInArrow(run, docs.schema)

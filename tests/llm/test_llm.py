@@ -124,6 +124,20 @@ def test_secrets(spark):
     assert len(out[1]) >= 3 and out[2] == [] and out[3] == []
 
 
+def test_stages_keep_other_columns(spark):
+    big = 2**60 + 1  # no double holds it
+    rows = [(big, "plain words", None, "s", None, "clash"), (None, None, "en", None, 1, None), (3, "password=abcdef123 end", "en", "s", big, "x")]
+    frame = spark.createDataFrame(rows, DDL)
+    out = secrets.redact_stage(frame)
+    assert out.columns == frame.columns
+    want = [rows[0], rows[1], (3, "<assign> end", "en", "s", big, "x")]
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(want, key=str)
+    assert sorted(map(tuple, substring.strip_stage(frame).collect()), key=str) == sorted(rows, key=str)
+    labels = spark.createDataFrame([(3, 0)], "doc_id long, toxic int")
+    assert sorted(map(tuple, toxicity.drop_toxic(frame, labels).collect()), key=str) == sorted(rows, key=str)
+    assert secrets.redact_stage(frame.limit(0)).count() == toxicity.drop_toxic(frame.limit(0), labels).count() == 0
+
+
 def test_toxicity_learns():
     rng = np.random.default_rng(0)
     words = [f"w{i}" for i in range(400)]
