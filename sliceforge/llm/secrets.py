@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sliceforge.llm.textkit import portions
 from sliceforge.runtime import ship, table
 
 #: The base patterns, with the least length of what they must catch, in the order of the kinds.
@@ -314,9 +315,9 @@ def redact_stage(docs: DataFrame) -> DataFrame:
 
     # Arrow batches keep every other column as it is, whole numbers beside nulls included
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b, texts in portions(batches):
             at = b.schema.get_field_index("text")
-            field, texts = b.schema.field(at), b.column(at).to_pylist()
+            field = b.schema.field(at)
             found = find_all(texts, held.value)
             yield b.set_column(at, field, pa.array([redact(t, s) if s else t for t, s in zip(texts, found, strict=True)], field.type))
 

@@ -19,11 +19,12 @@ from functools import partial
 from itertools import accumulate
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sliceforge.llm.textkit import portions
 from sliceforge.operators.components import connected_components
 from sliceforge.runtime import materialize, ship
 
@@ -61,11 +62,12 @@ def fingerprints(docs: DataFrame, text: str = "text", shingle: int = 3) -> DataF
     """docs -> (doc_id, fp long), a row for each row; null text counts as empty."""
     ship(docs.sparkSession)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            yield pd.DataFrame({"doc_id": b["doc_id"].astype("Int64"), "fp": [fingerprint(t, shingle) for t in b["text"]]})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b, texts in portions(batches):
+            fps = pa.array([fingerprint(t, shingle) for t in texts], pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column(b.schema.get_field_index("doc_id")), fps], names=["doc_id", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text")).mapInPandas(run, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, "doc_id long, fp long")
 
 
 def links(fps: DataFrame, max_distance: int = 2) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 U = np.uint64
 _BASE, _BASE_INV = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
@@ -105,3 +107,13 @@ def slices(texts: Sequence[bytes], limit: int = 4 << 20) -> Iterator[tuple[int,
 def utf8(values) -> list[bytes]:
     """Texts as UTF-8; null counts as empty."""
     return [t.encode("utf-8", "surrogatepass") if isinstance(t, str) else b"" for t in values]
+
+
+def portions(batches: Iterator[pa.RecordBatch], limit: int = 4 << 20) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
+    """Arrow batches in portions of about `limit` bytes of their text column, each with its texts; so little is held at once."""
+    for b in batches:
+        text = b.column(b.schema.get_field_index("text"))
+        size = np.cumsum(pc.fill_null(pc.binary_length(text), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
+        edges = (np.flatnonzero(np.diff(size // limit)) + 1).tolist()
+        for lo, hi in zip([0, *edges], [*edges, len(size)], strict=True):
+            yield b.slice(lo, hi - lo), text.slice(lo, hi - lo).to_pylist()

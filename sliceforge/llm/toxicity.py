@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sliceforge.llm.textkit import NON_LETTERS, U, Words, slices, utf8
+from sliceforge.llm.textkit import NON_LETTERS, U, Words, portions, slices, utf8
 from sliceforge.runtime import ship, table
 
 BUCKETS = 1 << 17
@@ -299,8 +299,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     # Arrow batches keep every other column as it is, whole numbers beside nulls included
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts = utf8(b.column(b.schema.get_field_index("text")).to_pylist())
-            yield b.filter(pa.array(score_texts(held.value, texts)[0] < 0.5))
+        for b, texts in portions(batches):
+            yield b.filter(pa.array(score_texts(held.value, utf8(texts))[0] < 0.5))
 
     return docs.mapInArrow(run, docs.schema)
