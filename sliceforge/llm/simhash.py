@@ -24,6 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sliceforge.llm.neardup import kept_ids
 from sliceforge.llm.textkit import portions
 from sliceforge.operators.components import connected_components
 from sliceforge.runtime import materialize, ship
@@ -138,8 +139,9 @@ def op9(spark, sf_dir: str) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """The pipeline stage: of each group the row with the smallest doc_id stays, with its own columns.
 
-    Rows without a doc_id cannot be told apart and stay. Of repeated rows of that doc_id one stays.
+    Groups are those of neardup (five words, similarity 0.8), not op9's of fingerprints. Rows without
+    a doc_id cannot be told apart and stay. Of repeated rows of that doc_id one stays.
     """
-    kept = near_duplicates(docs).filter("doc_id = component_id").select(F.col("doc_id").alias("_keep")).distinct()
+    kept = kept_ids(docs).select(F.col("doc_id").alias("_keep"))
     named = docs.join(kept, F.col("doc_id").cast("long") == F.col("_keep"), "left_semi").dropDuplicates(["doc_id"])
     return named.unionByName(docs.filter("doc_id IS NULL"))

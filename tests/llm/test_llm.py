@@ -10,7 +10,7 @@ import tiktoken
 import xxhash
 from pyspark.sql import functions as F
 
-from sliceforge.llm import ann, bpe, media, packing, preference, quality, secrets, simhash, substring, toxicity
+from sliceforge.llm import ann, bpe, media, neardup, packing, preference, quality, secrets, simhash, substring, toxicity
 
 DDL = "doc_id long, text string, lang string, source string, n_chars long, spans string"
 
@@ -85,6 +85,54 @@ def test_simhash_documents(spark):
     assert simhash.keep_one(docs(spark, CASES)).filter("doc_id = 7").count() == 0
 
 
+def brute_kept(texts, shingle=5):
+    """Smallest ids of the components of all pairs with Jaccard similarity 0.8 or more."""
+    sets = {}
+    for i, t in texts:
+        w = (t or "").encode().lower().split()
+        sets[i] = {tuple(w[s : s + shingle]) for s in range(max(1, len(w) - shingle + 1))}
+    low = {i: i for i in sets}
+
+    def root(i):
+        while low[i] != i:
+            i = low[i]
+        return i
+
+    ids = sorted(sets)
+    for n, i in enumerate(ids):
+        for j in ids[n + 1 :]:
+            a, b = sets[i], sets[j]
+            if 4 * max(len(a), len(b)) <= 5 * min(len(a), len(b)) and 5 * len(a & b) >= 4 * len(a | b):
+                x, y = sorted((root(i), root(j)))
+                low[y] = x
+    return {i for i in ids if root(i) == i}
+
+
+def test_near_copies_match_brute_force(spark):
+    rng = np.random.default_rng(9)
+    texts = [(i, t) for i, t in CASES if i is not None]
+    for base in range(40):
+        words = [f"v{x}" for x in rng.integers(0, 500, int(rng.integers(1, 200)))]
+        for copy in range(6):
+            w = list(words)
+            for at in rng.integers(0, len(w), int(rng.integers(0, max(2, len(w) // 25)))):
+                w[at] = f"u{rng.integers(0, 500)}"
+            texts.append((100 + base * 10 + copy, (" " if copy % 2 else "\t").join(w).title()))
+    want = brute_kept(texts)
+    frame = docs(spark, [*texts, (None, "no id"), (100, texts[-1][1])]).repartition(5)
+    got = [r.doc_id for r in simhash.keep_one(docs(spark, texts)).collect()]
+    assert sorted(got) == sorted(want) and len(want) < len(texts) - 50
+    assert [r.text for r in simhash.keep_one(frame).filter("doc_id IS NULL").collect()] == ["no id"]
+    assert simhash.keep_one(frame.limit(0)).count() == 0
+
+
+def test_near_copies_in_blocks(monkeypatch):
+    texts = [b"", b"one", *(" ".join(f"w{i * j}" for i in range(40 * j)).encode() for j in range(1, 9))]
+    whole = neardup.band_keys(*neardup.shingles(texts))
+    monkeypatch.setattr(neardup, "_BLOCK", 7)
+    assert (neardup.band_keys(*neardup.shingles(texts)) == whole).all()
+
+
 def test_bpe_matches_library(spark):
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
