@@ -234,10 +234,37 @@ def held_out() -> F.Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
 
 
+def longest_fitting(sizes: dict[int, list[int]], limit: int) -> dict[int, int]:
+    """For each label the size up to which its texts are taken, so that all taken hold at most limit bytes.
+
+    Each label has half the bytes and what the other leaves over, so that neither crowds the other out; what is
+    left out are the longest texts. A label none of whose texts fits raises an error.
+    """
+    sums = {k: np.cumsum(np.sort(np.asarray(v, np.int64))) for k, v in sizes.items()}
+    cap, used = dict.fromkeys(sizes, -1), dict.fromkeys(sizes, 0)
+
+    def take(k: int, budget: int) -> None:
+        v = np.sort(np.asarray(sizes[k], np.int64))
+        n = int(np.searchsorted(sums[k], budget, "right"))
+        if n < len(v):  # of texts as long as the first that does not fit none is taken
+            n = int(np.searchsorted(v, v[n], "left"))
+        cap[k], used[k] = (int(v[n - 1]), int(sums[k][n - 1])) if n else (-1, 0)
+
+    for k in sizes:
+        take(k, limit // 2)
+    for k in sorted(sizes, key=lambda k: used[k]):
+        take(k, limit - sum(used.values()) + used[k])
+    for k in sizes:
+        if cap[k] < 0:
+            raise ValueError(f"no text labelled {k} fits the {limit} bytes of the training sample")
+    return cap
+
+
 def fit(docs: DataFrame, labels: DataFrame, max_docs: int = TRAIN_DOCS) -> Model:
     """Learns from labelled rows that are not held out: a bounded sample, chosen by hash of doc_id.
 
     Null labels, null ids and held-out ids take no part; of a doc_id with several labels the largest counts.
+    Where the sample holds more than TRAIN_BYTES, its longest texts are passed over.
     """
     # the smaller side is reduced to the sample before it meets the texts, so its size is bounded
     known = (
@@ -250,20 +277,23 @@ def fit(docs: DataFrame, labels: DataFrame, max_docs: int = TRAIN_DOCS) -> Model
         .limit(max_docs)
     )
     rows = (
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
         .join(F.broadcast(known), "doc_id")
-        .withColumn("text", F.coalesce("text", F.lit("")))
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "text")
-        .limit(max_docs)
+        .select("doc_id", "toxic", "text", F.octet_length("text").alias("size"), F.xxhash64("text").alias("print"))
     )
-    texts, marks, size = [], [], 0
-    for r in rows.toLocalIterator():
-        t = r.text.encode("utf-8", "surrogatepass")
-        size += len(t)
-        if size > TRAIN_BYTES:
-            break
-        texts.append(t)
-        marks.append(r.toxic)
+    order = [F.xxhash64("doc_id"), "doc_id", "size", "print"]
+    sizes: dict[int, list[int]] = {}
+    for r in rows.drop("text").orderBy(*order).limit(max_docs).collect():
+        sizes.setdefault(r.toxic, []).append(r.size)
+    cap = longest_fitting(sizes, TRAIN_BYTES)
+    # longer texts are emptied before the sort, so that they are not carried to the driver
+    fits = F.expr(" OR ".join(f"toxic = {k} AND size <= {c}" for k, c in cap.items()) or "false")
+    sample = rows.withColumn("text", F.when(fits, F.col("text"))).orderBy(*order).limit(max_docs)
+    texts, marks = [], []
+    for r in sample.toLocalIterator():
+        if r.text is not None:
+            texts.append(r.text.encode("utf-8", "surrogatepass"))
+            marks.append(r.toxic)
     return train(texts, np.array(marks))
 
 

@@ -201,6 +201,29 @@ def test_toxicity_learns():
     assert ((s[:-1] >= 0.5) == np.array(labels[300:])).mean() > 0.95 and 0 <= s[-1] < 0.5
 
 
+def test_toxicity_passes_over_long_texts(spark, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(toxicity, "TRAIN_BYTES", 4000)
+    monkeypatch.setattr(toxicity, "train", lambda texts, marks: seen.update(rows=sorted(zip(texts, marks.tolist(), strict=True))))
+    short = [(i, f"text {i}") for i in range(100)]
+    long = [(i, "long " * (900 if i % 2 else 300)) for i in range(100, 200)]
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(200)], "doc_id long, toxic int")
+    toxicity.fit(docs(spark, [*short, *long]), labels)
+    free = {r.doc_id for r in labels.filter(~toxicity.held_out()).collect()}
+    # every short text is fitted on, and long ones only as far as the bytes go
+    assert {(t.encode(), int(i % 4 == 0)) for i, t in short if i in free} <= set(seen["rows"])
+    assert sum(len(t) for t, _ in seen["rows"]) <= 4000
+    with pytest.raises(ValueError, match="labelled 1"):
+        toxicity.fit(docs(spark, [(i, t if i % 4 else "long " * 900) for i, t in short]), labels)
+
+
+def test_toxicity_shares_the_bytes():
+    assert toxicity.longest_fitting({0: [1, 2, 3], 1: [4]}, 100) == {0: 3, 1: 4}
+    assert toxicity.longest_fitting({0: [10] * 3 + [20], 1: [45]}, 80) == {0: 10, 1: 45}
+    assert toxicity.longest_fitting({0: [1, 2, 90], 1: [3, 30]}, 50) == {0: 2, 1: 30}
+    assert toxicity.longest_fitting({}, 50) == {}
+
+
 def test_ann_exact_on_small(spark):
     rng = np.random.default_rng(3)
     x = rng.normal(size=(120, 8)).astype(np.float32)
