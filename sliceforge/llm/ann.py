@@ -7,8 +7,9 @@ to a query is  |q|^2 + norm - 2 * sum of table[codebook, code],  where the table
 products with all codewords: scoring reads tables only. The best by that score are reranked by exact
 distance on the original vectors.
 
-Queries are taken in blocks of fixed size; each block is scored against all partitions of codes, which
-keep their own best, so a partition returns at most k rows for each query.
+Executors pack codes into chunks and queries into blocks; every block meets every chunk in tasks that keep a
+running best of each query and emit it once a block, so what a task returns does not grow with the codes it
+reads. Vectors are read again for the shortlists only. Nothing but the codebooks and counts passes the driver.
 """
 
 from __future__ import annotations
@@ -17,21 +18,26 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sliceforge.llm.textkit import column, rows
 from sliceforge.runtime import materialize, ship, table
 
-CODEBOOKS = 16
+CODEBOOKS = 24
 WORDS = 256
 BEAM = 4
 #: The most vectors that codebooks are fitted on, whatever the size of the input.
-TRAIN_VECTORS = 8192
+TRAIN_VECTORS = 16384
 ITERATIONS = 6
-QUERY_BLOCK = 512
-#: Candidates of each partition and query that are reranked exactly.
+#: Queries of a block, codes of a chunk, and chunks that one task takes.
+QUERY_BLOCK, CHUNK, CHUNKS_A_TASK = 512, 16384, 16
+#: Candidates of each query that are reranked exactly.
 RERANK = 256
+#: Scaled components are coded within these bounds, so that single-precision sums stay finite.
+FAR = 1e9
 
 
 @dataclass
@@ -96,109 +102,164 @@ def usable(vector: str) -> F.Column:
     return v.isNotNull() & (F.size(v) > 0) & F.coalesce(fine, F.lit(False)) & F.exists(v, lambda x: x != 0)
 
 
-def index(vectors: DataFrame, id_col: str = "vec_id", vector: str = "embedding") -> tuple[DataFrame, Books, int]:
-    """Codes every usable vector: (id, x binary of float64, code binary, norm), the codebooks and the dimension.
+@dataclass
+class Index:
+    """Codes of all usable vectors: rows (row, id, v, code, norm), codebooks, and the scale that vectors are divided by."""
+
+    rows: DataFrame
+    books: Books
+    scale: float
+
+
+def scaled(x: np.ndarray, scale: float) -> np.ndarray:
+    return np.clip(x / scale, -FAR, FAR).astype(np.float32)
 
-    Vectors of another length than the most frequent one take no part.
+
+def index(vectors: DataFrame, id_col: str = "vec_id", vector: str = "embedding") -> Index | None:
+    """Codes every usable vector; None if there is none.
+
+    Vectors of another length than the most frequent one take no part: distances between lengths are not defined.
     """
     spark = vectors.sparkSession
     ship(spark)
-    fine = vectors.filter(usable(vector)).filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"))
+    fine = vectors.filter(usable(vector)).filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(vector).alias("v"))
     sizes = fine.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
     if sizes is None:
-        return spark.createDataFrame([], "id long, x binary, code binary, norm float"), Books(np.zeros((1, 1, 1), np.float32)), 0
-    dims = int(sizes.d)
-    fine = fine.filter(F.size("v") == dims)
-    drawn = fine.orderBy(F.xxhash64("id"), "id").limit(TRAIN_VECTORS).select("v").toPandas()
-    books = fit(np.stack(drawn["v"].to_numpy()))
+        return None
+    fine = fine.filter(F.size("v") == int(sizes.d))
+    drawn = fine.orderBy(F.xxhash64("id"), "id", F.xxhash64("v")).limit(TRAIN_VECTORS).select(F.col("v").cast("array<double>").alias("v")).collect()
+    sample = np.array([r.v for r in drawn])
+    scale = float(np.median(np.abs(sample).max(axis=1)))
+    books = fit(scaled(sample, scale))
     held = spark.sparkContext.broadcast(books)  # size fixed by codebooks, words and dimension
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            if len(f):
-                x = np.stack(f["v"].to_numpy()).astype(np.float64)
-                codes, norms = encode(held.value, x)
-                yield pd.DataFrame({"id": f["id"], "x": [r.tobytes() for r in x], "code": [r.tobytes() for r in codes], "norm": norms})
-
-    return materialize(fine.mapInPandas(run, "id long, x binary, code binary, norm float"), "codes"), books, dims
-
-
-def exact(x: np.ndarray, q: np.ndarray) -> np.ndarray:
-    """Euclidean distances in double precision, summed component by component in order."""
-    total = np.zeros(len(x))
-    for d in range(x.shape[1]):
-        diff = x[:, d] - q[d]
-        total += diff * diff
-    return np.sqrt(total)
-
-
-def _search_block(codes: DataFrame, books, queries, k: int, rerank: int) -> DataFrame:
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids, q = queries.value
-        words = books.value.words
-        tables = np.einsum("qd,mwd->mqw", q.astype(np.float32), words)
-        for f in frames:
-            if not len(f):
-                continue
-            own = f["id"].to_numpy(np.int64)
-            x = np.frombuffer(b"".join(f["x"]), np.float64).reshape(len(f), -1)
-            code = np.frombuffer(b"".join(f["code"]), np.uint8).reshape(len(f), -1)
-            norm = f["norm"].to_numpy(np.float32)
-            out = []
-            for lo in range(0, len(q), 64):
-                score = np.repeat(norm[None, :], min(64, len(q) - lo), axis=0)
-                for m in range(len(words)):
-                    score -= 2 * tables[m, lo : lo + 64][:, code[:, m]]
-                score[ids[lo : lo + 64, None] == own[None, :]] = np.inf
-                keep = min(max(rerank, k), len(f))
-                best = np.argpartition(score, keep - 1, axis=1)[:, :keep]
-                for i in range(len(score)):
-                    pick = best[i][own[best[i]] != ids[lo + i]]
-                    if not len(pick):
-                        continue
-                    d = exact(x[pick], q[lo + i])
-                    order = np.lexsort((own[pick], d))[:k]
-                    out.append((np.full(len(order), ids[lo + i]), own[pick[order]], d[order]))
-            if out:
-                yield pd.DataFrame({"query_id": np.concatenate([o[0] for o in out]), "vec_id": np.concatenate([o[1] for o in out]), "score": np.concatenate([o[2] for o in out])})
-
-    return codes.mapInPandas(run, "query_id long, vec_id long, score double")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if len(b):
+                x = column(b, "v").flatten().to_numpy().astype(np.float64).reshape(len(b), -1)
+                codes, norms = encode(held.value, scaled(x, scale))
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.FixedSizeBinaryArray.from_buffers(pa.binary(codes.shape[1]), len(codes), [None, pa.py_buffer(codes)]).cast(pa.binary()), pa.array(norms)], names=[*b.schema.names, "code", "norm"])
+
+    kind = fine.schema["v"].dataType.simpleString()
+    numbered = fine.withColumn("row", F.monotonically_increasing_id())
+    return Index(materialize(numbered.mapInArrow(run, f"id long, v {kind}, row long, code binary, norm float"), "codes"), books, scale)
+
+
+def _packed(table_: DataFrame, size: int, value: str, name: str) -> DataFrame:
+    """(row, `value`, ...) -> packs of at most `size` rows: (name, rows, ids, body) as bytes, made by executors."""
+    with_norm = "norm" in table_.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, held, n = TaskContext.get().partitionId() << 32, [], 0
+
+        def pack() -> pa.RecordBatch:
+            t = pa.Table.from_batches(held).combine_chunks()
+            body = b"".join(t.column(value).to_pylist())
+            norm = t.column("norm").to_numpy().tobytes() if with_norm else b""
+            return rows(**{name: pa.array([number], pa.int64())}, rows=[t.column("row").to_numpy().tobytes()], ids=[t.column("id").to_numpy().tobytes()], body=[body], norm=[norm])
+
+        for b in batches:
+            at = 0
+            while at < len(b):
+                take = min(size - n, len(b) - at)
+                held.append(b.slice(at, take))
+                n, at = n + take, at + take
+                if n == size:
+                    yield pack()
+                    number, held, n = number + 1, [], 0
+        if n:
+            yield pack()
+
+    return table_.mapInArrow(run, f"{name} long, rows binary, ids binary, body binary, norm binary")
+
+
+def _best(score: np.ndarray, row: np.ndarray, keep: int) -> tuple[np.ndarray, np.ndarray]:
+    """The `keep` smallest of each line of scores, ties in any order, with their rows."""
+    if score.shape[1] > keep:
+        pick = np.argpartition(score, keep - 1, axis=1)[:, :keep]
+        score, row = np.take_along_axis(score, pick, 1), np.take_along_axis(row, pick, 1)
+    return score, row
+
+
+def shortlist(asked: DataFrame, coded: DataFrame, books: Books, keep: int) -> DataFrame:
+    """asked (row, id, x binary of scaled float32), coded (row, id, code, norm) -> (q, row, approx): for each query row q
+    the best `keep` codes of each task, its own row left out."""
+    spark = asked.sparkSession
+    held = spark.sparkContext.broadcast(books)
+    chunks = materialize(_packed(coded, CHUNK, "code", "chunk"), "chunks")
+    blocks = materialize(_packed(asked, QUERY_BLOCK, "x", "block"), "blocks")
+    slots = chunks.count() // CHUNKS_A_TASK + 1
+    dealt = chunks.withColumn("slot", F.pmod(F.xxhash64("chunk"), F.lit(slots)))
+    met = blocks.select("block", F.col("rows").alias("q_rows"), F.col("body").alias("q_body"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slots - 1).cast("long"))).alias("slot")).join(dealt, "slot")
+    met = met.repartition(F.col("slot"), F.col("block")).sortWithinPartitions("slot", "block")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = held.value.words
+        now, q_row, tables, score, row = None, None, None, None, None
+
+        def told() -> pa.RecordBatch:
+            fine = np.isfinite(score)
+            return rows(q=np.repeat(q_row, fine.sum(axis=1)), row=row[fine], approx=score[fine])
+
+        for b in batches:
+            for i in range(len(b)):
+                key = column(b, "slot")[i].as_py(), column(b, "block")[i].as_py()
+                if key != now:
+                    if now is not None:
+                        yield told()
+                    now, q_row = key, np.frombuffer(column(b, "q_rows")[i].as_py(), np.int64)
+                    q = np.frombuffer(column(b, "q_body")[i].as_py(), np.float32).reshape(len(q_row), -1)
+                    tables = 2 * np.einsum("qd,mwd->mqw", q, words)
+                    score, row = np.zeros((len(q_row), 0), np.float32), np.zeros((len(q_row), 0), np.int64)
+                own = np.frombuffer(column(b, "rows")[i].as_py(), np.int64)
+                code = np.frombuffer(column(b, "body")[i].as_py(), np.uint8).reshape(len(own), -1)
+                norm = np.frombuffer(column(b, "norm")[i].as_py(), np.float32)
+                for lo in range(0, len(own), 2048):  # a piece of a chunk at a time bounds the scores held
+                    part, at = code[lo : lo + 2048], own[lo : lo + 2048]
+                    fresh = np.repeat(norm[None, lo : lo + 2048], len(q_row), axis=0)
+                    for m in range(len(words)):
+                        fresh -= tables[m][:, part[:, m]]
+                    fresh[q_row[:, None] == at[None, :]] = np.inf
+                    fresh, where = _best(fresh, np.broadcast_to(at, fresh.shape), keep)
+                    score, row = _best(np.concatenate((score, fresh), axis=1), np.concatenate((row, where), axis=1), keep)
+        if now is not None:
+            yield told()
+
+    return met.select("slot", "block", "q_rows", "q_body", "rows", "body", "norm").mapInArrow(run, "q long, row long, approx float")
 
 
 def search(vectors: DataFrame, is_query, k: int = 10, rerank: int = RERANK, id_col: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """The k nearest found of each query: query_id, rank (from 1), vec_id, score, nearest first, ties to the smaller id.
 
-    is_query: a condition on column `id`. Candidates are all usable vectors but those of the query's own id; with fewer
-    than k all of them are returned. Rows that repeat an id count once as a query, and each as a candidate.
+    is_query: a condition on column `id`. Candidates are all usable vectors but the query's own row; with fewer
+    than k all of them are returned. Rows that repeat an id are a query each, and a candidate each.
     Unusable vectors (null, empty, zero, with null or non-finite components) take no part. An empty
     table gives an empty result. Other columns are ignored.
     """
     spark = vectors.sparkSession
-    codes, books, _ = index(vectors, id_col, vector)
-    held = spark.sparkContext.broadcast(books)
-    asked = codes.filter(is_query).select("id", "x").dropDuplicates(["id"]).orderBy("id")
-    found: DataFrame | None = None
-    ids: list[int] = []
-    xs: list[bytes] = []
-
-    def flush() -> DataFrame:
-        block = spark.sparkContext.broadcast((np.array(ids, np.int64), np.frombuffer(b"".join(xs), np.float64).reshape(len(ids), -1)))
-        return _search_block(codes, held, block, k, rerank)
-
-    for r in asked.toLocalIterator():  # a block of fixed size at a time
-        ids.append(r.id)
-        xs.append(bytes(r.x))
-        if len(ids) == QUERY_BLOCK:
-            got = flush()
-            found = got if found is None else found.unionByName(got)
-            ids, xs = [], []
-    if ids:
-        got = flush()
-        found = got if found is None else found.unionByName(got)
-    if found is None:
+    built = index(vectors, id_col, vector)
+    if built is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
-    return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    scale = built.scale
+
+    def bytes_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if len(b):
+                x = scaled(column(b, "v").flatten().to_numpy().astype(np.float64).reshape(len(b), -1), scale)
+                yield rows(row=column(b, "row"), id=column(b, "id"), x=pa.array([r.tobytes() for r in x], pa.binary()))
+
+    asked = built.rows.filter(is_query).select("row", "id", "v").mapInArrow(bytes_of, "row long, id long, x binary")
+    keep = max(rerank, k)
+    near = shortlist(asked, built.rows.select("row", "id", "code", "norm"), built.books, keep)
+    first = Window.partitionBy("q").orderBy("approx", "row")  # as many rows a query as tasks times `keep`
+    short = materialize(near.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= keep).select("q", "row"), "short")
+    double = F.col("v").cast("array<double>")
+    there = built.rows.select("row", F.col("id").alias("vec_id"), double.alias("x"))
+    here = built.rows.filter(is_query).select(F.col("row").alias("q"), F.col("id").alias("query_id"), double.alias("y"))
+    square = F.aggregate(F.zip_with("x", "y", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, d: s + d)
+    ranked = Window.partitionBy("q").orderBy("score", "vec_id", "row")
+    scored = short.join(there, "row").join(here, "q").select("q", "query_id", "row", "vec_id", F.sqrt(square).alias("score"))
+    return scored.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def op1(spark, sf_dir: str) -> DataFrame:

@@ -15,13 +15,14 @@ from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 
 import numpy as np
-import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import regex
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sliceforge.llm.textkit import column, portions, rows
 from sliceforge.runtime import ship, table
 
 #: Pieces kept for each worker before the table is emptied.
@@ -257,19 +258,6 @@ def _digest_table(path: str, pattern: str) -> tuple[Codec, ChunkTable, dict[str,
     return _digest_tables[key]
 
 
-def _groups(values, limit: int = 1 << 20) -> Iterator[list[str]]:
-    group, size = [], 0
-    for t in values:
-        t = t if isinstance(t, str) else ""
-        if size and size + len(t) > limit:
-            yield group
-            group, size = [], 0
-        group.append(t)
-        size += len(t)
-    if group:
-        yield group
-
-
 def encode_ids(texts: list[str], path: str, pattern: str = public_tokenizers.PATTERN) -> list[list[int]]:
     """Ids of each text."""
     _, chunks = _text_table(path, pattern)
@@ -289,26 +277,25 @@ def encode(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN,
     """
     ship(docs.sparkSession)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            at = 0
-            for group in _groups(f["text"]):
-                yield pd.DataFrame({"doc_id": f["doc_id"].astype("Int64").iloc[at : at + len(group)].to_numpy(), "ids": encode_ids(group, path, pattern)})
-                at += len(group)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b, texts in portions(batches, 1 << 20):
+            yield rows(doc_id=column(b, "doc_id"), ids=pa.array(encode_ids([t or "" for t in texts], path, pattern), pa.list_(pa.int32())))
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text")).mapInPandas(run, "doc_id long, ids array<int>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, "doc_id long, ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
     """doc_id, ids -> doc_id, bytes binary; null ids give null."""
     ship(encoded.sparkSession)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path, pattern)
-        for f in frames:
-            yield pd.DataFrame({"doc_id": f["doc_id"].astype("Int64"), "bytes": [None if x is None else c.decode(x) for x in f["ids"]]})
+        for b in batches:
+            for lo in range(0, len(b), 256):
+                part = b.slice(lo, 256)
+                yield rows(doc_id=column(part, "doc_id"), bytes=pa.array([None if x is None else c.decode(x) for x in column(part, "ids").to_pylist()], pa.binary()))
 
-    return encoded.select("doc_id", "ids").mapInPandas(run, "doc_id long, bytes binary")
+    return encoded.select(F.col("doc_id").cast("long").alias("doc_id"), "ids").mapInArrow(run, "doc_id long, bytes binary")
 
 
 def digests(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
@@ -318,18 +305,18 @@ def digests(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN
     """
     ship(docs.sparkSession)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c, chunks, names = _digest_table(path, pattern)
-        for f in frames:
-            rows = []
-            for group in _groups(f["text"]):
-                for parts in chunks(group):
-                    written = " ".join([p[1] for p in parts if p[0]])
-                    back = b"".join(map(names.__getitem__, written.split(" "))) if written else b""
-                    rows.append((sum([p[0] for p in parts]), hashlib.sha256(written.encode()).hexdigest(), hashlib.sha256(back).hexdigest()))
-            yield pd.DataFrame({"doc_id": f["doc_id"].astype("Int64"), "n_tokens": [r[0] for r in rows], "ids_sha256": [r[1] for r in rows], "decoded_sha256": [r[2] for r in rows]})
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).mapInPandas(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+        for b, texts in portions(batches, 1 << 20):
+            n, ids, back = [], [], []
+            for parts in chunks([t or "" for t in texts]):
+                written = " ".join([p[1] for p in parts if p[0]])
+                n.append(sum([p[0] for p in parts]))
+                ids.append(hashlib.sha256(written.encode()).hexdigest())
+                back.append(hashlib.sha256(b"".join(map(names.__getitem__, written.split(" "))) if written else b"").hexdigest())
+            yield rows(doc_id=column(b, "doc_id"), n_tokens=pa.array(n, pa.int64()), ids_sha256=pa.array(ids, pa.string()), decoded_sha256=pa.array(back, pa.string()))
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def op5(spark, sf_dir: str) -> DataFrame:

@@ -15,13 +15,16 @@ from collections.abc import Iterator
 from io import BytesIO
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sliceforge.llm.textkit import column, portions, rows
 from sliceforge.runtime import ship, table
 
 ROW = 64
+#: Rows of a tile in which a text is stored.
+TILE = 1024
 _BLANK = b" \t\n\x0b\x0c\r"
 
 
@@ -160,23 +163,26 @@ def images(media: DataFrame, id_col: str, data: str, height: int, width: int, ed
     """
     ship(media.sparkSession)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            for key, raw in zip(f["id"], f["data"], strict=True):  # a row's tiles at a time bound the memory
+    kind = media.schema[id_col].dataType
+    arrow = {"tile_row": pa.int32(), "tile_col": pa.int32(), "npy": pa.binary(), "dhash": pa.string(), "error": pa.string()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(len(b)):  # a row's tiles at a time bound the memory
+                raw = column(b, "data")[i].as_py()
                 try:
                     if raw is None:
                         raise ValueError("no image")
-                    image = decode(bytes(raw))
+                    image = decode(raw)
                     small = np.rint(resize(image, height, width)).astype(image.dtype)
                     sign = difference_hash(image)
-                    rows = [(key, y, x, npy, sign, None) for y, x, npy in tiles(small, edge)]
+                    found = [(y, x, npy, sign, None) for y, x, npy in tiles(small, edge)]
                 except (ValueError, struct.error, IndexError) as e:
-                    rows = [(key, None, None, None, None, str(e))]
-                out = pd.DataFrame(rows, columns=["id", "tile_row", "tile_col", "npy", "dhash", "error"])
-                yield out.astype({"tile_row": "Int32", "tile_col": "Int32"})
+                    found = [(None, None, None, None, str(e))]
+                key = column(b, "id").take(pa.array([i] * len(found)))
+                yield rows(id=key, **{n: pa.array([f[k] for f in found], t) for k, (n, t) in enumerate(arrow.items())})
 
-    kind = media.schema[id_col].dataType.simpleString()
-    return media.select(F.col(id_col).alias("id"), F.col(data).alias("data")).mapInPandas(run, f"id {kind}, tile_row int, tile_col int, npy binary, dhash string, error string")
+    return media.select(F.col(id_col).alias("id"), F.col(data).alias("data")).mapInArrow(run, f"id {kind.simpleString()}, tile_row int, tile_col int, npy binary, dhash string, error string")
 
 
 def payload(text: str | None) -> tuple[bytes, int]:
@@ -185,37 +191,55 @@ def payload(text: str | None) -> tuple[bytes, int]:
     return raw + b"\0" * (max(1, -(-len(raw) // ROW)) * ROW - len(raw)), len(raw)
 
 
+def stored(image: np.ndarray, edge: int = TILE) -> bytes:
+    """A grey image as NPY tiles one after the other, row by row."""
+    return b"".join(npy for _, _, npy in tiles(image, edge))
+
+
+def read_back(media: bytes) -> np.ndarray:
+    """The grey image of stored(): tiles of full width, joined from the top."""
+    source, parts = BytesIO(media), []
+    while source.tell() < len(media):
+        parts.append(np.load(source, allow_pickle=False))
+    return parts[0] if len(parts) == 1 else np.concatenate(parts)
+
+
 def store_texts(docs: DataFrame, text: str = "text") -> DataFrame:
-    """docs -> doc_id, n_bytes, media binary: each text as the samples of a raw PGM, 64 to a row.
+    """docs -> doc_id, n_bytes, media binary: each text as samples, 64 to a row, in NPY tiles.
 
-    Null counts as empty and becomes one row of zeros. Repeated rows repeat; an empty table gives none.
+    A text becomes a raw Netpbm image, which is decoded as any other and written in tiles. Null counts as
+    empty and becomes one row of zeros. Repeated rows repeat; an empty table gives none.
     """
     ship(docs.sparkSession)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            stored = [payload(t) for t in f["text"]]
-            yield pd.DataFrame(
-                {"doc_id": f["doc_id"].astype("Int64"), "n_bytes": [n for _, n in stored], "media": [encode_netpbm(np.frombuffer(p, np.uint8).reshape(-1, ROW)) for p, _ in stored]}
-            )
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b, texts in portions(batches):
+            n, media = [], []
+            for t in texts:
+                padded, size = payload(t)
+                n.append(size)
+                media.append(stored(decode(encode_netpbm(np.frombuffer(padded, np.uint8).reshape(-1, ROW)))))
+            yield rows(doc_id=column(b, "doc_id"), n_bytes=pa.array(n, pa.int64()), media=pa.array(media, pa.binary()))
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text")).mapInPandas(run, "doc_id long, n_bytes long, media binary")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, "doc_id long, n_bytes long, media binary")
 
 
 def measure(media: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, media -> the same rows with digests of the samples read back, of the file, and its difference hash."""
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            rows = []
-            for raw in f["media"]:
-                image = decode(bytes(raw))
-                back = image.tobytes()
-                rows.append((len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-ROW:]), len(raw), hashlib.sha256(raw).hexdigest(), difference_hash(image)))
-            names = ("payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")
-            yield pd.DataFrame({"doc_id": f["doc_id"].astype("Int64"), "n_bytes": f["n_bytes"]} | {c: [r[i] for r in rows] for i, c in enumerate(names)})
-
-    return media.mapInPandas(run, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    """doc_id, n_bytes, media -> the same rows with digests of the samples read back, of the tiles, and the image's difference hash."""
+    ship(media.sparkSession)
+    kinds = {"payload_bytes": pa.int64(), "payload_sha256": pa.string(), "tail_crc32": pa.int64(), "media_bytes": pa.int64(), "media_sha256": pa.string(), "feature": pa.string()}
+
+    def one(raw: bytes) -> tuple:
+        image = read_back(raw)
+        back = image.tobytes()
+        return len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-ROW:]), len(raw), hashlib.sha256(raw).hexdigest(), difference_hash(image)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [one(m.as_py()) for m in column(b, "media")]
+            yield rows(doc_id=column(b, "doc_id"), n_bytes=column(b, "n_bytes"), **{c: pa.array([f[i] for f in found], t) for i, (c, t) in enumerate(kinds.items())})
+
+    return media.mapInArrow(run, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
 
 
 def op8(spark, sf_dir: str) -> DataFrame:

@@ -13,21 +13,23 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from sliceforge.llm.bpe import _groups, odd
-from sliceforge.llm.textkit import NON_LETTERS, U, Words, utf8
+from sliceforge.llm.bpe import odd
+from sliceforge.llm.textkit import NON_LETTERS, U, Words, column, portions, rows, utf8
 from sliceforge.runtime import materialize, ship, table
 
 DIMS = 3
 LEVELS = 10
 END = 0
+#: Bytes of packed ids in a range partition.
+PART_BYTES = 24 << 20
 
 
 def project(texts: list[bytes]) -> np.ndarray:
@@ -123,21 +125,16 @@ def tokenized(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     """docs -> doc_id, key (place on the curve), n (tokens with the end id), ids (two bytes each), a row for a row."""
     ship(docs.sparkSession)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            at = 0
-            for group in _groups(f["text"]):
-                ids, width = token_bytes(group, path)
-                end = np.array([END], width).tobytes()
-                ids = [i + end for i in ids]
-                size = len(end)
-                cells = np.minimum((project(utf8(group)) * (1 << LEVELS)).astype(np.int64), (1 << LEVELS) - 1)
-                yield pd.DataFrame(
-                    {"doc_id": f["doc_id"].astype("Int64").iloc[at : at + len(group)].to_numpy(), "key": hilbert(cells), "n": [len(i) // size for i in ids], "width": size, "ids": ids}
-                )
-                at += len(group)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b, texts in portions(batches, 1 << 20):
+            ids, width = token_bytes([t or "" for t in texts], path)
+            end = np.array([END], width).tobytes()
+            ids = [i + end for i in ids]
+            size = len(end)
+            cells = np.minimum((project(utf8(texts)) * (1 << LEVELS)).astype(np.int64), (1 << LEVELS) - 1)
+            yield rows(doc_id=column(b, "doc_id"), key=hilbert(cells), n=pa.array([len(i) // size for i in ids], pa.int64()), width=np.full(len(ids), size, np.int32), ids=pa.array(ids, pa.binary()))
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text")).mapInPandas(run, "doc_id long, key long, n long, width int, ids binary")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, "doc_id long, key long, n long, width int, ids binary")
 
 
 def tail(rest: int) -> list[int]:
@@ -199,26 +196,26 @@ def pack(docs: DataFrame, path: str, length: int = 1024, text: str = "text") ->
     spark = docs.sparkSession
     # written once: ordering by range reads its input twice
     done = materialize(tokenized(docs, path, text), "tokens")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = done.agg(F.sum(F.col("n") * F.col("width")).alias("b")).first().b or 0
+    parts = max(spark.sparkContext.defaultParallelism, size // PART_BYTES + 1)
     order = ["key", "doc_id", "digest"]
     ranged = done.withColumn("digest", F.xxhash64("ids")).repartitionByRange(parts, *order).sortWithinPartitions(*order)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         layout, part = Layout(length), TaskContext.get().partitionId()
 
-        def rows(found: list[tuple]) -> pd.DataFrame:
-            out = pd.DataFrame(found, columns=_LAID)
-            return out.assign(doc_id=out["doc_id"].astype("Int64"), part=part)
+        def written(found: list[tuple]) -> pa.RecordBatch:
+            return rows(**{c: pa.array([f[i] for f in found], pa.int64()) for i, c in enumerate(_LAID)}, part=np.full(len(found), part, np.int32))
 
-        for f in frames:
+        for b in batches:
             found = []
-            for doc_id, width, ids in zip(f["doc_id"].astype("Int64"), f["width"], f["ids"], strict=True):
-                found += layout.add(doc_id, np.frombuffer(ids, "<u2" if width == 2 else "<u4"))
-            yield rows(found)
-        yield rows(list(layout.end()))
+            for doc_id, width, ids in zip(column(b, "doc_id").to_pylist(), column(b, "width").to_pylist(), column(b, "ids"), strict=True):
+                found += layout.add(doc_id, np.frombuffer(ids.as_buffer(), "<u2" if width == 2 else "<u4"))
+            yield written(found)
+        yield written(list(layout.end()))
 
     laid = materialize(
-        ranged.select("doc_id", "width", "ids").mapInPandas(
+        ranged.select("doc_id", "width", "ids").mapInArrow(
             run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence long, offset long, part int"
         ),
         "laid",

@@ -108,26 +108,13 @@ def format_turns(sides: DataFrame) -> DataFrame:
     )
 
 
-def op6(spark, sf_dir: str) -> DataFrame:
-    talks = table(spark, sf_dir, "conversations")
-    out = format_turns(adjacent_pairs(talks))
-    ones = lambda c: F.aggregate(F.filter(c, lambda r: r["value"] == 1), F.lit(0).cast("long"), lambda s, r: s + r["n"])
-    return out.select(
-        "chosen_id",
-        "rejected_id",
-        "prompt_turns",
-        F.sha2("prompt", 256).alias("prompt_sha256"),
-        F.sha2("chosen", 256).alias("chosen_sha256"),
-        F.sha2("rejected", 256).alias("rejected_sha256"),
-        ones(F.col("chosen_mask")).alias("chosen_learned"),
-        ones(F.col("rejected_mask")).alias("rejected_learned"),
-    )
-
-
-def adjacent_pairs(conversations: DataFrame) -> DataFrame:
-    """Neighbours by conv_id (even id chosen, next odd id rejected) with their turns: one shuffle, on the pair.
+def swapped(conversations: DataFrame) -> DataFrame:
+    """A pair of each conversation: (chosen_id, rejected_id, chosen, rejected), one shuffle, on the pair of ids.
 
-    Rows are taken as turns_of takes them; a conversation without its neighbour gives no row.
+    The table names no preferences, so they are made: chosen is the conversation, rejected the same turns with
+    the text of the last assistant turn taken from the conversation next to it (ids 2k and 2k + 1). Where that
+    one is missing or has no assistant turn the rejected side lacks the turn and rejected_id is null. A
+    conversation without an assistant turn is paired with itself. Rows are taken as turns_of takes them.
     """
     pair = F.expr("shiftright(CAST(conv_id AS BIGINT), 1)")
     turn = F.struct(F.col("turn").cast("long").alias("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
@@ -142,8 +129,32 @@ def adjacent_pairs(conversations: DataFrame) -> DataFrame:
     def side(parity: int) -> Column:
         return F.transform(F.filter("sides", lambda s: s["odd"] == parity), lambda s: s["t"])
 
-    return both.select((F.col("pair") * 2).alias("chosen_id"), (F.col("pair") * 2 + 1).alias("rejected_id"), side(0).alias("chosen"), side(1).alias("rejected")).filter(
-        (F.size("chosen") > 0) & (F.size("rejected") > 0)
+    def last(turns: Column) -> Column:
+        """Place (from 0) of the last assistant turn, -1 without one."""
+        return F.coalesce(F.array_max(F.transform(turns, lambda t, i: F.when(t["role"] == "assistant", i).otherwise(-1))), F.lit(-1))
+
+    each = both.select("pair", side(0).alias("a"), side(1).alias("b")).select("pair", "a", "b", last(F.col("a")).alias("at_a"), last(F.col("b")).alias("at_b"))
+    ways = [F.struct((F.col("pair") * 2 + i).alias("own_id"), (F.col("pair") * 2 + 1 - i).alias("other_id"), F.col(x).alias("own"), F.col(f"at_{x}").alias("at"), F.get(y, F.col(f"at_{y}"))["text"].alias("text")) for i, (x, y) in enumerate((("a", "b"), ("b", "a")))]
+    sides = each.select(F.explode(F.array(*ways)).alias("w")).select("w.*").filter(F.size("own") > 0)
+    given = F.transform("own", lambda t, i: F.struct(t["turn"].alias("turn"), t["role"].alias("role"), F.when(i == F.col("at"), F.col("text")).otherwise(t["text"]).alias("text")))
+    rejected = F.filter(given, lambda t: t["text"].isNotNull())
+    partner = F.when(F.col("at") < 0, F.col("own_id")).when(F.col("text").isNotNull(), F.col("other_id"))
+    return sides.select(F.col("own_id").alias("chosen_id"), partner.alias("rejected_id"), F.col("own").alias("chosen"), rejected.alias("rejected"))
+
+
+def op6(spark, sf_dir: str) -> DataFrame:
+    out = format_turns(swapped(table(spark, sf_dir, "conversations")))
+    ones = lambda c: F.aggregate(F.filter(c, lambda r: r["value"] == 1), F.lit(0).cast("long"), lambda s, r: s + r["n"])
+    return out.select(
+        "chosen_id",
+        "rejected_id",
+        "prompt_turns",
+        F.sha2("prompt", 256).alias("prompt_sha256"),
+        F.sha2("chosen", 256).alias("chosen_sha256"),
+        F.sha2("rejected", 256).alias("rejected_sha256"),
+        ones(F.col("chosen_mask")).alias("chosen_learned"),
+        ones(F.col("rejected_mask")).alias("rejected_learned"),
+        "distinct",
     )
 
 
@@ -151,26 +162,29 @@ OP6_SQL = """
 WITH t AS (
   SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL
 ), n AS (
-  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS i,
-         '<|' || role || '|>' || chr(10) || text || chr(10) || '<|end|>' || chr(10) AS shown,
-         CASE WHEN role = 'assistant' THEN length(text) + 9 ELSE 0 END AS learned
-  FROM t
-), p AS (
-  SELECT a.conv_id AS chosen_id, a.conv_id + 1 AS rejected_id FROM (SELECT DISTINCT conv_id FROM n WHERE conv_id % 2 = 0) a
-  WHERE a.conv_id + 1 IN (SELECT conv_id FROM n)
-), d AS (
-  SELECT p.chosen_id, p.rejected_id,
-         coalesce(min(CASE WHEN y.conv_id IS NULL OR x.role <> y.role OR x.text <> y.text THEN x.i END) - 1, count(*)) AS k
-  FROM p JOIN n x ON x.conv_id = p.chosen_id LEFT JOIN n y ON y.conv_id = p.rejected_id AND y.i = x.i GROUP BY ALL
-), c AS (
-  SELECT d.chosen_id, d.rejected_id, k, coalesce(string_agg(shown, '' ORDER BY i) FILTER (i <= k), '') AS prompt,
-         coalesce(string_agg(shown, '' ORDER BY i) FILTER (i > k), '') AS chosen, coalesce(sum(learned) FILTER (i > k), 0) AS chosen_learned
-  FROM d JOIN n ON n.conv_id = d.chosen_id GROUP BY ALL
-), r AS (
-  SELECT d.chosen_id, coalesce(string_agg(shown, '' ORDER BY i) FILTER (i > k), '') AS rejected, coalesce(sum(learned) FILTER (i > k), 0) AS rejected_learned
-  FROM d JOIN n ON n.conv_id = d.rejected_id GROUP BY d.chosen_id, k
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS i FROM t
+), l AS (
+  SELECT conv_id, coalesce(max(i) FILTER (role = 'assistant'), 0) AS at FROM n GROUP BY 1
+), o AS (
+  SELECT l.conv_id, l.at, CASE WHEN l.at = 0 THEN l.conv_id WHEN m.text IS NOT NULL THEN m.conv_id END AS other, m.text
+  FROM l LEFT JOIN (SELECT l.conv_id, n.text FROM l JOIN n ON n.conv_id = l.conv_id AND n.i = l.at) m ON m.conv_id = l.conv_id + CASE WHEN l.conv_id % 2 = 0 THEN 1 ELSE -1 END
+), sides AS (
+  SELECT conv_id, 'c' AS side, i, role, text FROM n
+  UNION ALL
+  SELECT conv_id, 'r', row_number() OVER (PARTITION BY conv_id ORDER BY i), role, text
+  FROM (SELECT n.conv_id, n.i, n.role, CASE WHEN n.i = o.at THEN o.text ELSE n.text END AS text FROM n JOIN o USING (conv_id)) WHERE text IS NOT NULL
+), shown AS (
+  SELECT *, '<|' || role || '|>' || chr(10) || text || chr(10) || '<|end|>' || chr(10) AS line, CASE WHEN role = 'assistant' THEN length(text) + 9 ELSE 0 END AS learned FROM sides
+), k AS (
+  SELECT c.conv_id, least(coalesce(min(CASE WHEN r.i IS NULL OR c.role <> r.role OR c.text <> r.text THEN c.i END) - 1, count(*)), count(*)) AS k
+  FROM sides c LEFT JOIN sides r ON r.conv_id = c.conv_id AND r.side = 'r' AND r.i = c.i WHERE c.side = 'c' GROUP BY 1
 )
-SELECT chosen_id, rejected_id, CAST(k AS INTEGER) AS prompt_turns, sha256(prompt) AS prompt_sha256, sha256(chosen) AS chosen_sha256, sha256(rejected) AS rejected_sha256,
-       CAST(chosen_learned AS BIGINT) AS chosen_learned, CAST(rejected_learned AS BIGINT) AS rejected_learned
-FROM c JOIN r USING (chosen_id)
+SELECT s.conv_id AS chosen_id, any_value(o.other) AS rejected_id, CAST(any_value(k) AS INTEGER) AS prompt_turns,
+       sha256(coalesce(string_agg(line, '' ORDER BY i) FILTER (side = 'c' AND i <= k), '')) AS prompt_sha256,
+       sha256(coalesce(string_agg(line, '' ORDER BY i) FILTER (side = 'c' AND i > k), '')) AS chosen_sha256,
+       sha256(coalesce(string_agg(line, '' ORDER BY i) FILTER (side = 'r' AND i > k), '')) AS rejected_sha256,
+       CAST(coalesce(sum(learned) FILTER (side = 'c' AND i > k), 0) AS BIGINT) AS chosen_learned,
+       CAST(coalesce(sum(learned) FILTER (side = 'r' AND i > k), 0) AS BIGINT) AS rejected_learned,
+       count(*) FILTER (i > k) > 0 AS "distinct"
+FROM shown s JOIN k ON k.conv_id = s.conv_id JOIN o ON o.conv_id = s.conv_id GROUP BY 1
 """

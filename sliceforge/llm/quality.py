@@ -7,7 +7,8 @@ by order, with the counts and context weights (shards are Spark's partitions by
 the log probabilities go back to the batches, which add them up document by document. Neither
 the counts nor the probabilities are ever in one place, so the model may grow with the corpus.
 
-A document is kept if its perplexity is at most a quantile of the trusted documents of its language.
+A document is kept if its perplexity is at most a quantile of the trusted documents of its language
+that were held back from the counts.
 """
 
 from __future__ import annotations
@@ -16,14 +17,13 @@ import pickle
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
-import xxhash
+import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sliceforge.llm.textkit import LOWER, SPACES, slices, utf8
+from sliceforge.llm.textkit import LOWER, SPACES, column, portions, rows, slices, utf8
 from sliceforge.runtime import materialize, ship, table
 
 ORDER = 5
@@ -31,8 +31,6 @@ SYMBOLS = 256
 KEEP = 0.995
 #: Bytes of text in a batch (one longer text stands alone).
 BATCH = 12 << 20
-#: Above this many labelled rows the labels are joined by a shuffle instead of a broadcast.
-BROADCAST_ROWS = 2_000_000
 
 
 def _folding() -> np.ndarray:
@@ -76,14 +74,12 @@ def counts(trusted: DataFrame) -> DataFrame:
     """(text) -> (code, n) over all trusted texts: each batch sends each n-gram once."""
     ship(trusted.sparkSession)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            texts = utf8(f["text"])
-            for lo, hi in slices(texts, BATCH):
-                u, n = distinct(texts[lo:hi])
-                yield pd.DataFrame({"code": u, "n": n})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, texts in portions(batches, BATCH):
+            u, n = distinct(utf8(texts))
+            yield rows(code=u, n=n)
 
-    return trusted.select("text").mapInPandas(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    return trusted.select("text").mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
 
 
 def _discounts(level: DataFrame) -> list[float]:
@@ -131,52 +127,46 @@ def probabilities(asked: DataFrame, orders: list[tuple[DataFrame, DataFrame]]) -
         wanted[k] = wanted[k + 1].select(_last(k).alias("code")).distinct()
     p = None
     for k, (own, weight) in enumerate(orders, 1):
-        rows = wanted[k].join(own, "code", "left").withColumn("context", _context()).join(weight, "context", "left")
+        met = wanted[k].join(own, "code", "left").withColumn("context", _context()).join(weight, "context", "left")
         if p is None:
-            rows = rows.withColumn("lower", F.lit(1 / SYMBOLS))
+            met = met.withColumn("lower", F.lit(1 / SYMBOLS))
         else:
             shorter = p.select(F.col("code").alias("tail"), F.col("p").alias("lower"))
-            rows = rows.join(shorter, _last(k - 1) == F.col("tail"))
-        p = rows.select("code", (F.coalesce("own", F.lit(0.0)) + F.coalesce("weight", F.lit(1.0)) * F.col("lower")).alias("p"))
+            met = met.join(shorter, _last(k - 1) == F.col("tail"))
+        p = met.select("code", (F.coalesce("own", F.lit(0.0)) + F.coalesce("weight", F.lit(1.0)) * F.col("lower")).alias("p"))
         if 1 < k < len(orders):
             p = materialize(p, f"p{k}")
     return p
 
 
-def _batches(frames: Iterator[pd.DataFrame]) -> Iterator[tuple[int, int, pd.DataFrame, list[bytes]]]:
-    """(number, digest, rows, texts) of each batch of a partition; the same rows give the same batches."""
+def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch, list[bytes]]]:
+    """(number, rows, texts) of each batch of a partition; the same rows give the same batches."""
     number = TaskContext.get().partitionId() << 32
-    for f in frames:
-        texts = utf8(f["text"])
-        for lo, hi in slices(texts, BATCH):
-            h = xxhash.xxh64()
-            for t in texts[lo:hi]:
-                h.update(len(t).to_bytes(8, "little") + t)
-            yield number, h.intdigest() >> 1, f.iloc[lo:hi], texts[lo:hi]
-            number += 1
+    for b, texts in portions(batches, BATCH):
+        yield number, b, utf8(texts)
+        number += 1
 
 
 def grams(docs: DataFrame) -> DataFrame:
     """docs (doc_id, lang, text) -> (batch, code): each n-gram of a batch once."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for number, _, _, texts in _batches(frames):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number, _, texts in _batches(batches):
             u, _ = distinct(texts)
-            yield pd.DataFrame({"batch": np.full(len(u), number), "code": u})
+            yield rows(batch=np.full(len(u), number), code=u)
 
-    return docs.mapInPandas(run, "batch long, code long")
+    return docs.mapInArrow(run, "batch long, code long")
 
 
 def packs(docs: DataFrame) -> DataFrame:
     """docs (doc_id, lang, text) -> (batch, payload): the rows of a batch, compressed."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for number, _, rows, texts in _batches(frames):
-            ids = [None if pd.isna(i) else int(i) for i in rows["doc_id"]]
-            payload = zstandard.compress(pickle.dumps((ids, list(rows["lang"]), texts)), 3)
-            yield pd.DataFrame({"batch": [number], "payload": [payload]})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number, b, texts in _batches(batches):
+            payload = zstandard.compress(pickle.dumps((column(b, "doc_id").to_pylist(), column(b, "lang").to_pylist(), texts)), 3)
+            yield rows(batch=pa.array([number], pa.int64()), payload=pa.array([payload], pa.binary()))
 
-    return docs.mapInPandas(run, "batch long, payload binary")
+    return docs.mapInArrow(run, "batch long, payload binary")
 
 
 def perplexities(known: np.ndarray, logs: np.ndarray, texts: list[bytes]) -> np.ndarray:
@@ -212,35 +202,39 @@ def score(docs: DataFrame, orders: list[tuple[DataFrame, DataFrame]]) -> DataFra
         .select("batch", F.col("a.code").alias("codes"), F.col("a.log").alias("logs"))
     )
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            for payload, known, logs in zip(f["payload"], f["codes"], f["logs"], strict=True):
-                ids, lang, texts = pickle.loads(zstandard.decompress(payload))
-                known, logs = (np.zeros(0, t) if x is None else np.asarray(x, t) for x, t in ((known, np.int64), (logs, np.float32)))
-                yield pd.DataFrame({"doc_id": pd.array(ids, "Int64"), "lang": lang, "perplexity": perplexities(known, logs, texts)})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(len(b)):
+                ids, lang, texts = pickle.loads(zstandard.decompress(column(b, "payload")[i].as_py()))
+                known, logs = column(b, "codes")[i].values, column(b, "logs")[i].values
+                known, logs = (np.zeros(0, np.int64), np.zeros(0, np.float32)) if known is None else (known.to_numpy(), logs.to_numpy())
+                yield rows(doc_id=pa.array(ids, pa.int64()), lang=pa.array(lang, pa.string()), perplexity=perplexities(known, logs, texts))
 
-    return packs(own).join(answers, "batch", "left").select("payload", "codes", "logs").mapInPandas(run, "doc_id long, lang string, perplexity double")
+    return packs(own).join(answers, "batch", "left").select("payload", "codes", "logs").mapInArrow(run, "doc_id long, lang string, perplexity double")
+
+
+def _counted() -> F.Column:
+    """Four of five trusted documents, by hash of doc_id, are counted; the rest set the thresholds."""
+    return F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(5)) != 0
 
 
 def classify(docs: DataFrame, labels: DataFrame, keep: float = KEEP) -> DataFrame:
     """docs, labels (doc_id, quality) -> doc_id, lang, perplexity, threshold, kept int, a row for a row.
 
-    Trusted text: documents labelled 1. The threshold of a language is the `keep` quantile of its trusted
-    documents' perplexity; a language without any uses the highest; without trusted text all is kept.
-    Repeated rows are scored alike; an empty table gives an empty result; other columns are ignored.
+    Trusted text: documents labelled 1. Four of five are counted; the threshold of a language is the `keep`
+    quantile of the perplexity of those held back, which the model never saw. A language without any uses
+    the highest; without held-back text all is kept. Repeated rows are scored alike; an empty table gives
+    an empty result; other columns are ignored.
     """
     good = labels.filter("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
-    if good.count() <= BROADCAST_ROWS:
-        good = F.broadcast(good)
-    own = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
-    scored = materialize(score(own, model(own.join(good, "doc_id", "left_semi"))), "scored")
-    cuts = scored.join(good, "doc_id", "left_semi").groupBy("lang").agg(F.percentile_approx("perplexity", keep, 10000).alias("threshold")).collect()  # a row for a language
-    overall = max([r.threshold for r in cuts], default=float("inf"))
-    threshold = F.lit(overall)
-    for r in cuts:
-        if r.lang is not None:
-            threshold = F.when(F.col("lang") == r.lang, F.lit(float(r.threshold))).otherwise(threshold)
-    out = scored.withColumn("threshold", F.coalesce(threshold, F.lit(overall)))
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text")
+    # Spark broadcasts the ids where its own size check allows
+    scored = materialize(score(own, model(own.join(good.filter(_counted()), "doc_id", "left_semi"))), "scored")
+    held = scored.join(good.filter(~_counted()), "doc_id", "left_semi")
+    cuts = materialize(held.groupBy("lang").agg(F.percentile_approx("perplexity", keep, 10000).alias("cut")), "cuts")
+    overall = cuts.agg(F.max("cut").alias("m")).first().m
+    known = cuts.select(F.col("lang").alias("of"), "cut")
+    out = scored.join(known, F.col("lang") == F.col("of"), "left").withColumn("threshold", F.coalesce("cut", F.lit(float("inf") if overall is None else overall)))
     return out.select("doc_id", "lang", "perplexity", "threshold", (F.col("perplexity") <= F.col("threshold")).cast("int").alias("kept"))
 
 

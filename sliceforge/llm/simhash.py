@@ -24,12 +24,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sliceforge.llm.neardup import kept_ids
+from sliceforge.llm.neardup import kept_rows
 from sliceforge.llm.textkit import portions
 from sliceforge.operators.components import connected_components
 from sliceforge.runtime import materialize, ship
 
 BITS = 64
+#: Fingerprints whose variants one task makes.
+SPREAD = 20_000
 _xxh = partial(xxhash.xxh64_intdigest, seed=42)
 _BLOCK = 1 << 16
 
@@ -75,6 +77,9 @@ def links(fps: DataFrame, max_distance: int = 2) -> DataFrame:
     """Distinct fingerprints (fp long) -> links (u, v) whose components are those of all pairs within max_distance."""
     if max_distance != 2:
         raise ValueError("segments and variants are laid out for a distance of 2")
+    spark = fps.sparkSession
+    # each becomes 64 rows: enough partitions that a task's rows stay in memory, however few bytes they come from
+    fps = fps.repartition(max(spark.sparkContext.defaultParallelism, fps.count() // SPREAD + 1))
     half = "CASE WHEN k < 32 THEN shiftrightunsigned(fp, 32) ELSE fp & 4294967295L END"
     signed = (
         fps.select("fp", F.explode(F.sequence(F.lit(0), F.lit(63))).alias("k"))
@@ -140,8 +145,17 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """The pipeline stage: of each group the row with the smallest doc_id stays, with its own columns.
 
     Groups are those of neardup (five words, similarity 0.8), not op9's of fingerprints. Rows without
-    a doc_id cannot be told apart and stay. Of repeated rows of that doc_id one stays.
+    a doc_id cannot be told apart and stay. Of rows that repeat that doc_id with the same text one stays;
+    under one doc_id with different texts, the text whose hash stands for the group stays, and no other.
     """
-    kept = kept_ids(docs).select(F.col("doc_id").alias("_keep"))
-    named = docs.join(kept, F.col("doc_id").cast("long") == F.col("_keep"), "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.filter("doc_id IS NULL"))
+    spark = docs.sparkSession
+    ship(spark)
+    names = [f"c{i}" for i in range(len(docs.columns))]  # other columns may have any name
+    at = {c: n for c, n in zip(docs.columns, names, strict=True)}
+    own = docs.toDF(*names)
+    key, body = F.col(at["doc_id"]).cast("long"), F.xxhash64(F.coalesce(at["text"], F.lit("")))
+    kept = kept_rows(docs.select("doc_id", "text")).select(F.col("doc_id").alias("kept_id"), F.col("tid").alias("kept_tid"))
+    first = own.join(kept, (key == F.col("kept_id")) & (body == F.col("kept_tid")))
+    # repeated rows: the first by all their columns, so that a second run keeps the same one
+    best = first.groupBy("kept_id", "kept_tid").agg(F.min_by(F.struct(*names), F.xxhash64(*names)).alias("row")).select(*[F.col(f"row.{n}").alias(n) for n in names])
+    return best.unionByName(own.filter(F.col(at["doc_id"]).isNull())).toDF(*docs.columns)

@@ -7,13 +7,15 @@ So equal substrings get the same symbols except near their ends, where neighbour
 For every symbol the operator keeps its reach: the span of tokens that decided it. A symbol whose reach
 lies inside a window is decided by the window alone, and the same in every copy of that window.
 
-Names are 64-bit hashes, so all tasks agree on them without a dictionary.
+Names are 64-bit hashes, so all tasks agree on them without a dictionary. Words are told apart by two
+independent 64-bit functions of their bytes, windows by one hash over each of them, chunks of windows by a
+128-bit hash of their windows' bits: nothing is decided by one of the two alone.
 
 1. anchors: each window is led by one symbol inside it, of the highest level there is (a pair symbol of
    the last round, else a run, else a token), chosen by content only. Equal windows have equal anchors.
    Spark counts anchors over the whole corpus (with all tokens in the symbol's reach); an anchor seen once
    has no repeated window.
-2. windows under shared anchors are verified by a hash of all their tokens (96 bits; chunks 128). Neighbouring
+2. windows under shared anchors are verified by both hashes of all their tokens (96 bits sent; chunks 128). Neighbouring
    windows travel together in chunks cut by content. An equal chunk met before covers all its windows;
    windows of first chunks are compared one by one. Only earlier starts count.
 3. covered tokens go back to their documents.
@@ -28,13 +30,14 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from sliceforge.llm.textkit import U, Words, mix, powers, prefix_sums, slices, span_hash, utf8
+from sliceforge.llm.textkit import U, Words, column, mix, portions, prefix_sums, rows, span_hash, utf8
 from sliceforge.runtime import ship, table
 
 ROUNDS = 2
@@ -168,7 +171,7 @@ class Batch:
     def __init__(self, texts: list[bytes], window: int):
         w = Words(texts)
         self.words, self.window = w, window
-        self.h, self.text, self.first = w.hashes(), w.text_of(), w.first
+        self.h, self.h2, self.text, self.first = w.hashes(), w.hashes(lane=1), w.text_of(), w.first
         count = np.diff(w.first)
         n_windows = np.maximum(count - window + 1, 0)
         self.owner = np.repeat(np.arange(len(texts)), n_windows)
@@ -185,44 +188,45 @@ class Batch:
         return np.flatnonzero(mark[self.starts])
 
     def hashes(self) -> tuple[np.ndarray, np.ndarray]:
-        """128 bits of every window."""
+        """Two hashes of every window, each from its own hash of the words."""
         a = prefix_sums(self.h)
-        b = prefix_sums(mix(self.h ^ U(0x5851F42D4C957F2D)))
+        b = prefix_sums(self.h2)
         s, e = self.starts, self.starts + self.window
         return mix(span_hash(a, s, e)), mix(span_hash(b, s, e))
 
 
-def _batches(frames: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, list[bytes]]]:
-    for frame in frames:
-        texts = utf8(frame["text"])
-        for lo, hi in slices(texts, BATCH_BYTES):
-            yield frame.iloc[lo:hi], texts[lo:hi]
+def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    for b, texts in portions(batches, BATCH_BYTES):
+        yield b, utf8(texts)
 
 
-def _ids(frame: pd.DataFrame) -> np.ndarray:
-    return frame["doc_id"].to_numpy(np.int64)
+def _ids(b: pa.RecordBatch) -> np.ndarray:
+    """doc_ids of rows that all have one."""
+    return column(b, "doc_id").to_numpy()
 
 
 def shared_anchors(docs: DataFrame, window: int) -> DataFrame:
     """(doc_id, text) -> (doc_id, anchors array<long>): the anchors of each document that occur elsewhere too."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame, texts in _batches(frames):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for held, texts in _batches(batches):
             b = Batch(texts, window)
             if not b.places:
                 continue
             names, owner = np.concatenate([p.key for p in b.places]), np.concatenate([p.text for p in b.places])
-            order = np.argsort(names, kind="stable")
-            names, owner = names[order], owner[order]
-            cut = np.flatnonzero(np.concatenate(([True], names[1:] != names[:-1])))
+            # by name, then by document; of a document that has a name several times one mention stays
+            ids = _ids(held)[owner]
+            order = np.lexsort((ids, names))
+            names, ids = names[order], ids[order]
+            new = np.concatenate(([True], names[1:] != names[:-1]))
+            once = new | np.concatenate(([True], ids[1:] != ids[:-1]))
+            cut = np.flatnonzero(new)
             times = np.diff(np.append(cut, len(names)))
-            ids = _ids(frame)
-            lone = times == 1
-            yield pd.DataFrame({"anchor": names[cut[lone]].view(np.int64), "docs": pd.Series([[i] for i in ids[owner[cut[lone]]].tolist()], dtype=object), "n": 1})
-            many = np.flatnonzero(~lone)
-            yield pd.DataFrame({"anchor": names[cut[many]].view(np.int64), "docs": pd.Series([sorted(set(ids[owner[cut[i] : cut[i] + times[i]]].tolist())) for i in many], dtype=object), "n": 2})
+            begin = np.concatenate((np.cumsum(once)[cut] - 1, [once.sum()]))
+            lists = pa.ListArray.from_arrays(pa.array(begin.astype(np.int32)), pa.array(ids[once]))
+            yield rows(anchor=names[cut].view(np.int64), docs=lists, n=np.minimum(times, 2).astype(np.int32))
 
-    seen = docs.filter("doc_id IS NOT NULL").mapInPandas(run, "anchor long, docs array<long>, n int")
+    seen = docs.filter("doc_id IS NOT NULL").mapInArrow(run, "anchor long, docs array<long>, n int")
     again = (
         seen.withColumn("total", F.sum("n").over(Window.partitionBy("anchor")))
         .filter("total > 1")
@@ -241,16 +245,15 @@ def _at_home(key: np.ndarray, text: np.ndarray) -> np.ndarray:
     return mix(key ^ (text.astype(U) * U(0xD6E8FEB86659FD93)))
 
 
-def _windows(frames: Iterator[pd.DataFrame], window: int) -> Iterator[pd.DataFrame]:
+def _windows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
     """Windows under shared anchors, in chunks; kind 0: already known to be repeats, 1: chunks."""
-    for frame, texts in _batches(frames):
+    for held, texts in _batches(batches):
         b = Batch(texts, window)
         if not b.places:
             continue
-        ids = _ids(frame)
-        mine = [np.asarray(a, np.int64) for a in frame["anchors"]]
-        doc = np.repeat(np.arange(len(mine)), [len(a) for a in mine])
-        wanted = np.unique(_at_home(np.concatenate(mine).view(U), doc))
+        ids, mine = _ids(held), column(held, "anchors")
+        doc = np.repeat(np.arange(len(mine)), pc.list_value_length(mine).to_numpy())
+        wanted = np.unique(_at_home(mine.flatten().to_numpy().view(U), doc))
 
         def shared(key: np.ndarray, text: np.ndarray, wanted=wanted) -> np.ndarray:
             own = _at_home(key, text)
@@ -276,47 +279,50 @@ def _windows(frames: Iterator[pd.DataFrame], window: int) -> Iterator[pd.DataFra
         since = np.arange(len(pick)) - np.maximum.accumulate(np.where(cut, np.arange(len(pick)), 0))
         at = np.flatnonzero(cut | ((since & 0xFFFF) == 0xFFFF))
         size = np.diff(np.append(at, len(pick)))
-        sums1 = prefix_sums(h1)
-        sums2 = prefix_sums(h2)
-        inv = powers(len(sums1), True)
-        key1 = mix(((sums1[at + size] - sums1[at]) * inv[at]) ^ size.astype(U))
-        key2 = mix(((sums2[at + size] - sums2[at]) * inv[at]) ^ size.astype(U))
         fresh = ~known
         left = np.add.reduceat(fresh.astype(np.int64), at)
         yield _known_ranges(ids[owner], pos, known)
         live = np.flatnonzero(left > 0)
         packed = np.empty(len(pick), _BODY)
         packed["a"], packed["b"], packed["at"] = h1, h2 >> U(32), pos - np.repeat(pos[at], size)
-        bodies = []
-        for i in live:
+        both = np.stack((h1, h2), axis=1)
+        bodies, keys = [], np.zeros((len(live), 2), U)
+        for k, i in enumerate(live.tolist()):
             part = slice(at[i], at[i] + size[i])
             bodies.append(packed[part][fresh[part]].tobytes())
-        yield pd.DataFrame(
-            {"kind": 1, "key1": key1[live].view(np.int64), "key2": key2[live].view(np.int64), "doc_id": ids[owner[at[live]]], "pos": pos[at[live]], "n": size[live], "body": bodies}
+            keys[k] = np.frombuffer(xxhash.xxh3_128_digest(both[part].tobytes()), U)
+        yield pa.RecordBatch.from_pydict(
+            {"kind": np.ones(len(live), np.int32), "key1": keys[:, 0].view(np.int64), "key2": keys[:, 1].view(np.int64), "doc_id": ids[owner[at[live]]], "pos": pos[at[live]].astype(np.int32), "n": size[live].astype(np.int32), "body": pa.array(bodies, pa.binary())}
         )
 
 
-def _known_ranges(ids: np.ndarray, pos: np.ndarray, known: np.ndarray) -> pd.DataFrame:
+def _known_ranges(ids: np.ndarray, pos: np.ndarray, known: np.ndarray) -> pa.RecordBatch:
     at = np.flatnonzero(known)
     ids, pos = ids[at], pos[at]
     new = np.concatenate(([True], (ids[1:] != ids[:-1]) | (pos[1:] != pos[:-1] + 1)))[: len(at)]
     first = np.flatnonzero(new)
     n = np.diff(np.append(first, len(at)))
-    return pd.DataFrame({"kind": 0, "key1": ids[first], "key2": pos[first].astype(np.int64), "doc_id": ids[first], "pos": pos[first], "n": n, "body": None})
+    return pa.RecordBatch.from_pydict(
+        {"kind": np.zeros(len(first), np.int32), "key1": ids[first], "key2": pos[first].astype(np.int64), "doc_id": ids[first], "pos": pos[first].astype(np.int32), "n": n.astype(np.int32), "body": pa.nulls(len(first), pa.binary())}
+    )
 
 
-def _open(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _open(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """After chunks are ranked: known ranges and later chunks pass as ranges, first chunks as windows (kind 2)."""
-    for f in frames:
-        first = (f["kind"] == 1) & (f["rn"] == 1)
-        done = f[~first]
-        yield pd.DataFrame({"kind": 0, "key1": done["doc_id"], "key2": done["pos"].astype("int64"), "doc_id": done["doc_id"], "pos": done["pos"], "n": done["n"]})
-        opened = f[first]
+    names = ["kind", "key1", "key2", "doc_id", "pos", "n"]
+    for b in batches:
+        first = (column(b, "kind").to_numpy() == 1) & (column(b, "rn").to_numpy() == 1)
+        done = b.filter(pa.array(~first))
+        ids, pos = column(done, "doc_id"), column(done, "pos")
+        yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(done), np.int32)), ids, pos.cast(pa.int64()), ids, pos, column(done, "n")], names=names)
+        opened = b.filter(pa.array(first))
         if len(opened):
-            lens = np.fromiter(map(len, opened["body"]), np.int64) // _BODY.itemsize
-            every = np.frombuffer(b"".join(opened["body"]), _BODY)
-            yield pd.DataFrame(
-                {"kind": 2, "key1": np.ascontiguousarray(every["a"]).view(np.int64), "key2": every["b"].astype(np.int64), "doc_id": np.repeat(opened["doc_id"].to_numpy(), lens), "pos": np.repeat(opened["pos"].to_numpy(), lens) + every["at"], "n": 1}
+            bodies = column(opened, "body").to_pylist()
+            lens = np.fromiter(map(len, bodies), np.int64) // _BODY.itemsize
+            every = np.frombuffer(b"".join(bodies), _BODY)
+            ids, pos = column(opened, "doc_id").to_numpy(), column(opened, "pos").to_numpy()
+            yield pa.RecordBatch.from_pydict(
+                {"kind": np.full(len(every), 2, np.int32), "key1": np.ascontiguousarray(every["a"]).view(np.int64), "key2": every["b"].astype(np.int64), "doc_id": np.repeat(ids, lens), "pos": (np.repeat(pos, lens) + every["at"]).astype(np.int32), "n": np.ones(len(every), np.int32)}
             )
 
 
@@ -337,11 +343,11 @@ def repeats(docs: DataFrame, window: int = 20) -> DataFrame:
     keyed = docs.filter("doc_id IS NOT NULL").select("doc_id", "text")
     texts = keyed.repartition("doc_id")
     shared = shared_anchors(keyed, window)
-    met = texts.join(shared, "doc_id").mapInPandas(lambda it: _windows(it, window), _PIECES)
+    met = texts.join(shared, "doc_id").mapInArrow(lambda it: _windows(it, window), _PIECES)
     by_chunk = Window.partitionBy("kind", "key1", "key2").orderBy("doc_id", "pos")
     # equal places tie: two rows of one document are not earlier than each other
     ranked = met.withColumn("rn", F.rank().over(by_chunk))
-    opened = ranked.mapInPandas(_open, "kind int, key1 long, key2 long, doc_id long, pos int, n int")
+    opened = ranked.mapInArrow(_open, "kind int, key1 long, key2 long, doc_id long, pos int, n int")
     found = (
         opened.withColumn("rn", F.rank().over(by_chunk))
         .filter("kind = 0 OR rn > 1")
@@ -389,28 +395,28 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
     """
     ship(docs.sparkSession)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            got = [_strip(t, s, window) for t, s in zip(utf8(f["text"]), f["spans"], strict=True)]
-            yield pd.DataFrame(
-                {"doc_id": f["doc_id"].astype("Int64"), "n_words": [g[0] for g in got], "n_removed": [g[1] for g in got], "kept": [g[2].decode("utf-8", "surrogatepass") for g in got]}
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b, texts in portions(batches):
+            got = [_strip(t, s, window) for t, s in zip(utf8(texts), column(b, "spans").to_pylist(), strict=True)]
+            yield rows(
+                doc_id=column(b, "doc_id"), n_words=pa.array([g[0] for g in got], pa.int64()), n_removed=pa.array([g[1] for g in got], pa.int64()), kept=pa.array([g[2].decode("utf-8", "surrogatepass") for g in got], pa.string())
             )
 
-    return _with_spans(plain(docs), window).mapInPandas(run, "doc_id long, n_words long, n_removed long, kept string")
+    return _with_spans(plain(docs), window).mapInArrow(run, "doc_id long, n_words long, n_removed long, kept string")
 
 
 def op7(spark, sf_dir: str) -> DataFrame:
     docs = plain(table(spark, sf_dir, "documents"))
     ship(spark)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            got = [_strip(t, s, 20) for t, s in zip(utf8(f["text"]), f["spans"], strict=True)]
-            yield pd.DataFrame(
-                {"doc_id": f["doc_id"].astype("Int64"), "n_words": [g[0] for g in got], "n_removed": [g[1] for g in got], "kept_sha256": [hashlib.sha256(g[2]).hexdigest() for g in got]}
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b, texts in portions(batches):
+            got = [_strip(t, s, 20) for t, s in zip(utf8(texts), column(b, "spans").to_pylist(), strict=True)]
+            yield rows(
+                doc_id=column(b, "doc_id"), n_words=pa.array([g[0] for g in got], pa.int64()), n_removed=pa.array([g[1] for g in got], pa.int64()), kept_sha256=pa.array([hashlib.sha256(g[2]).hexdigest() for g in got], pa.string())
             )
 
-    return _with_spans(docs, 20).mapInPandas(run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    return _with_spans(docs, 20).mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
 def strip_stage(docs: DataFrame, window: int = 20) -> DataFrame:
@@ -419,17 +425,17 @@ def strip_stage(docs: DataFrame, window: int = 20) -> DataFrame:
     extra = [c for c in named.columns if c not in ("doc_id", "text")]
     carried = F.struct(*extra) if extra else F.struct(F.lit(0).alias("none"))
     found = repeats(named.select("doc_id", "text"), window)
-    rows = named.select("doc_id", "text", carried.alias("carried")).join(found, "doc_id", "left")
+    joined = named.select("doc_id", "text", carried.alias("carried")).join(found, "doc_id", "left")
 
     # Arrow batches keep the carried columns as they are, whole numbers beside nulls included
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            text, spans = b.schema.get_field_index("text"), b.schema.get_field_index("spans")
+        for b, texts in portions(batches):
+            text = b.schema.get_field_index("text")
             out = []
-            for t, s in zip(b.column(text).to_pylist(), b.column(spans).to_pylist(), strict=True):
+            for t, s in zip(texts, column(b, "spans").to_pylist(), strict=True):
                 out.append(t if s is None else _strip(t.encode("utf-8", "surrogatepass"), s, window)[2].decode("utf-8", "surrogatepass"))
             field = b.schema.field(text)
             yield b.set_column(text, field, pa.array(out, field.type)).select(["doc_id", "text", "carried"])
 
-    done = rows.mapInArrow(run, StructType([rows.schema[c] for c in ("doc_id", "text", "carried")]))
+    done = joined.mapInArrow(run, StructType([joined.schema[c] for c in ("doc_id", "text", "carried")]))
     return done.select(*[F.col(c) if c in ("doc_id", "text") else F.col(f"carried.`{c}`").alias(c) for c in docs.columns])

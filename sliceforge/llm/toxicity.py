@@ -16,12 +16,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sliceforge.llm.textkit import NON_LETTERS, U, Words, portions, slices, utf8
+from sliceforge.llm.textkit import NON_LETTERS, U, Words, column, portions, rows, slices, utf8
 from sliceforge.runtime import ship, table
 
 BUCKETS = 1 << 17
@@ -131,10 +130,11 @@ class Model:
 
 
 def train(texts: list[bytes], labels: np.ndarray, seed: int = 7) -> Model:
-    """Fits the network on most of the texts and the thresholds by language on all of them.
+    """Fits the network on three quarters of the texts and the thresholds by language on the rest, which it never saw.
 
-    A language's threshold is the raw score with the fewest errors; the middle of the widest
-    such gap is taken. Languages with too few labels of either kind use the overall one.
+    A language's threshold is the raw score with the fewest errors; the middle of the widest such gap is
+    taken. Languages with fewer than 20 held-back labels of either kind use the overall one, which itself
+    needs 5 of either kind; with fewer it stays at 0, where the balanced loss puts it.
     """
     rng = np.random.default_rng(seed)
     k = 1 + len(PREFIXES)
@@ -152,6 +152,11 @@ def train(texts: list[bytes], labels: np.ndarray, seed: int = 7) -> Model:
         m.out_bias = -2.0 if len(texts) == 0 or labels[0] == 0 else 2.0
         return m
     parts = [features([t]) for t in texts]
+    apart = np.zeros(len(texts), bool)
+    for kind in (0, 1):  # a quarter of each label is held back, if that leaves some
+        own = rng.permutation(np.flatnonzero(labels == kind))
+        apart[own[: len(own) // 4]] = True
+    fitted = np.flatnonzero(~apart)
     weight = np.where(labels == 1, 0.5 / labels.mean(), 0.5 / (1 - labels.mean())).astype(np.float32)
     moments: dict[str, list[np.ndarray]] = {}
     step = 0
@@ -165,7 +170,7 @@ def train(texts: list[bytes], labels: np.ndarray, seed: int = 7) -> Model:
 
     size = 48
     for epoch in range(EPOCHS):
-        order = rng.permutation(len(texts))
+        order = rng.permutation(fitted)
         for lo in range(0, len(order), size):
             pick = order[lo : lo + size]
             cols = np.concatenate([parts[i][0] for i in pick])
@@ -202,12 +207,13 @@ def train(texts: list[bytes], labels: np.ndarray, seed: int = 7) -> Model:
                     np.add.at(summed, inv, pull)
                     adam(f"e{c}", m.tables[c], summed, rate, rows)
             adam("out", m.out, grad_out.astype(np.float32), rate)
-    raw = np.array([m.raw(p[0], p[1])[0] for p in parts])
-    lang = np.array([p[2][0] for p in parts])
-    overall = _cut(raw, labels)
+    held = np.flatnonzero(apart)
+    raw = np.array([m.raw(parts[i][0], parts[i][1])[0] for i in held])
+    lang, truth = np.array([parts[i][2][0] for i in held]), labels[held]
+    overall = _cut(raw, truth) if min(truth.sum(), (1 - truth).sum()) >= 5 else 0.0
     for i in range(len(LANGS)):
         own = lang == i
-        m.cuts[i] = _cut(raw[own], labels[own]) if labels[own].sum() >= 20 and (1 - labels[own]).sum() >= 20 else overall
+        m.cuts[i] = _cut(raw[own], truth[own]) if min(truth[own].sum(), (1 - truth[own]).sum()) >= 20 else overall
     return m
 
 
@@ -234,67 +240,49 @@ def held_out() -> F.Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
 
 
-def longest_fitting(sizes: dict[int, list[int]], limit: int) -> dict[int, int]:
-    """For each label the size up to which its texts are taken, so that all taken hold at most limit bytes.
+def fitting(sizes: dict[int, dict[int, int]], limit: int) -> set[int]:
+    """label -> id -> bytes: the ids whose texts are taken, which hold at most `limit` bytes together.
 
-    Each label has half the bytes and what the other leaves over, so that neither crowds the other out; what is
-    left out are the longest texts. A label none of whose texts fits raises an error.
+    Each label has half the bytes and what the other leaves over, so that neither crowds the other out; the
+    longest texts are passed over. A label none of whose texts fits still gets its shortest one.
     """
-    sums = {k: np.cumsum(np.sort(np.asarray(v, np.int64))) for k, v in sizes.items()}
-    cap, used = dict.fromkeys(sizes, -1), dict.fromkeys(sizes, 0)
-
-    def take(k: int, budget: int) -> None:
-        v = np.sort(np.asarray(sizes[k], np.int64))
-        n = int(np.searchsorted(sums[k], budget, "right"))
-        if n < len(v):  # of texts as long as the first that does not fit none is taken
-            n = int(np.searchsorted(v, v[n], "left"))
-        cap[k], used[k] = (int(v[n - 1]), int(sums[k][n - 1])) if n else (-1, 0)
-
-    for k in sizes:
-        take(k, limit // 2)
-    for k in sorted(sizes, key=lambda k: used[k]):
-        take(k, limit - sum(used.values()) + used[k])
-    for k in sizes:
-        if cap[k] < 0:
-            raise ValueError(f"no text labelled {k} fits the {limit} bytes of the training sample")
-    return cap
+    ordered = {k: sorted(v, key=lambda i, v=v: (v[i], i)) for k, v in sizes.items()}
+    sums = {k: np.cumsum([sizes[k][i] for i in ids]) for k, ids in ordered.items()}
+    n = {k: max(1, int(np.searchsorted(sums[k], limit // 2, "right"))) for k in sizes if sizes[k]}
+    for k in sorted(n, key=lambda k: int(sums[k][n[k] - 1])):
+        others = sum(int(sums[j][n[j] - 1]) for j in n if j != k)
+        n[k] = max(n[k], int(np.searchsorted(sums[k], limit - others, "right")))
+    return {i for k in n for i in ordered[k][: n[k]]}
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_docs: int = TRAIN_DOCS) -> Model:
     """Learns from labelled rows that are not held out: a bounded sample, chosen by hash of doc_id.
 
-    Null labels, null ids and held-out ids take no part; of a doc_id with several labels the largest counts.
-    Where the sample holds more than TRAIN_BYTES, its longest texts are passed over.
+    Null labels, null ids and held-out ids take no part, nor do labels without a document; of a doc_id with
+    several labels the largest counts, and of several texts the first by length, then by hash. Where the
+    sample holds more than TRAIN_BYTES, its longest texts are passed over.
     """
-    # the smaller side is reduced to the sample before it meets the texts, so its size is bounded
     known = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
         .filter("doc_id IS NOT NULL AND toxic IN (0, 1)")
         .filter(~held_out())
         .groupBy("doc_id")
         .agg(F.max("toxic").alias("toxic"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(max_docs)
     )
-    rows = (
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-        .join(F.broadcast(known), "doc_id")
-        .select("doc_id", "toxic", "text", F.octet_length("text").alias("size"), F.xxhash64("text").alias("print"))
-    )
-    order = [F.xxhash64("doc_id"), "doc_id", "size", "print"]
-    sizes: dict[int, list[int]] = {}
-    for r in rows.drop("text").orderBy(*order).limit(max_docs).collect():
-        sizes.setdefault(r.toxic, []).append(r.size)
-    cap = longest_fitting(sizes, TRAIN_BYTES)
-    # longer texts are emptied before the sort, so that they are not carried to the driver
-    fits = F.expr(" OR ".join(f"toxic = {k} AND size <= {c}" for k, c in cap.items()) or "false")
-    sample = rows.withColumn("text", F.when(fits, F.col("text"))).orderBy(*order).limit(max_docs)
-    texts, marks = [], []
-    for r in sample.toLocalIterator():
-        if r.text is not None:
-            texts.append(r.text.encode("utf-8", "surrogatepass"))
-            marks.append(r.toxic)
-    return train(texts, np.array(marks))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    # only ids, sizes and hashes meet the labels; the texts of the sample are fetched afterwards
+    there = texts.select("doc_id", F.struct(F.octet_length("text").alias("size"), F.xxhash64("text").alias("print")).alias("own"))
+    drawn = there.join(known, "doc_id").groupBy("doc_id", "toxic").agg(F.min("own").alias("own")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_docs).collect()
+    sizes: dict[int, dict[int, int]] = {}
+    for r in drawn:
+        sizes.setdefault(r.toxic, {})[r.doc_id] = r.own.size
+    taken = fitting(sizes, TRAIN_BYTES)
+    spark = docs.sparkSession
+    chosen = spark.createDataFrame([(r.doc_id, r.toxic, r.own.print) for r in drawn if r.doc_id in taken], "doc_id long, toxic int, print long")
+    # at most max_docs small rows are broadcast
+    sample = texts.withColumn("print", F.xxhash64("text")).join(F.broadcast(chosen), ["doc_id", "print"]).dropDuplicates(["doc_id"])
+    found = sorted(sample.select("doc_id", "toxic", "text").toLocalIterator(), key=lambda r: r.doc_id)
+    return train([r.text.encode("utf-8", "surrogatepass") for r in found], np.array([r.toxic for r in found]))
 
 
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
@@ -306,12 +294,12 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     ship(spark)
     held = spark.sparkContext.broadcast(model)  # size fixed by BUCKETS, DIM and FILTERS
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            s, lang = score_texts(held.value, utf8(f["text"]))
-            yield pd.DataFrame({"doc_id": f["doc_id"].astype("Int64"), "score": s, "predicted": (s >= 0.5).astype(np.int32), "language": [LANGS[i] for i in lang]})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b, texts in portions(batches):
+            s, lang = score_texts(held.value, utf8(texts))
+            yield rows(doc_id=column(b, "doc_id"), score=s, predicted=(s >= 0.5).astype(np.int32), language=[LANGS[i] for i in lang])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text")).mapInPandas(run, "doc_id long, score double, predicted int, language string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, "doc_id long, score double, predicted int, language string")
 
 
 def op2(spark, sf_dir: str) -> DataFrame:

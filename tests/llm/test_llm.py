@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+from io import BytesIO
 
 import numpy as np
 import public_tokenizers
@@ -55,6 +56,19 @@ def test_repeats_match_brute_force(spark):
     assert substring.remove_repeats(docs(spark, CASES).limit(0)).count() == 0
 
 
+def test_repeats_tell_long_words_apart(spark):
+    a = "".join("ab"[bin(i).count("1") & 1] for i in range(4096))
+    b = a.translate(str.maketrans("ab", "ba"))
+    for n in (64, 512, 1024, 2048, 4096):
+        rest = " ".join(f"w{i}" for i in range(19))
+        texts = [(1, f"{a[:n]} {rest}"), (2, f"{b[:n]} {rest}")]
+        assert [r.n_removed for r in substring.remove_repeats(docs(spark, texts)).collect()] == [0, 0]
+    # the same pattern of two words
+    flip = [(1, a[:2048].replace("a", "x ").replace("b", "y ")), (2, b[:2048].replace("a", "x ").replace("b", "y "))]
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept) for r in substring.remove_repeats(docs(spark, flip)).collect()}
+    assert got == brute_repeats(flip)
+
+
 def test_simhash_links(spark):
     fps = [0, 1, 3, 7, 1 << 40, (1 << 40) | 1, -1, 12345678901234, 12345678901235]
     rng = np.random.default_rng(1)
@@ -168,6 +182,7 @@ def test_secrets(spark):
     net = secrets.train(items, labels, kinds, epochs=4)
     fresh, truth, _ = secrets.labelled_findings(300, seed=99)
     assert ((net.score(fresh) >= 0.5) == (truth == 1)).mean() > 0.9
+    assert len(set(net.cuts.values())) == len(secrets.KINDS)
     out = {r.doc_id: r.spans for r in secrets.scan(docs(spark, [(1, text), (2, None), (3, "")]), net).collect()}
     assert len(out[1]) >= 3 and out[2] == [] and out[3] == []
 
@@ -213,15 +228,21 @@ def test_toxicity_passes_over_long_texts(spark, monkeypatch):
     # every short text is fitted on, and long ones only as far as the bytes go
     assert {(t.encode(), int(i % 4 == 0)) for i, t in short if i in free} <= set(seen["rows"])
     assert sum(len(t) for t, _ in seen["rows"]) <= 4000
-    with pytest.raises(ValueError, match="labelled 1"):
-        toxicity.fit(docs(spark, [(i, t if i % 4 else "long " * 900) for i, t in short]), labels)
+    # a label whose texts are all too long still has one
+    toxicity.fit(docs(spark, [(i, t if i % 4 else "long " * 900) for i, t in short]), labels)
+    assert sum(y for _, y in seen["rows"]) == 1
+    # labels without a document use up nothing of the sample
+    orphans = labels.unionByName(spark.range(1000, 9000).selectExpr("id AS doc_id", "0 AS toxic"))
+    toxicity.fit(docs(spark, short), orphans, max_docs=100)
+    assert len(seen["rows"]) == len([i for i, _ in short if i in free])
 
 
 def test_toxicity_shares_the_bytes():
-    assert toxicity.longest_fitting({0: [1, 2, 3], 1: [4]}, 100) == {0: 3, 1: 4}
-    assert toxicity.longest_fitting({0: [10] * 3 + [20], 1: [45]}, 80) == {0: 10, 1: 45}
-    assert toxicity.longest_fitting({0: [1, 2, 90], 1: [3, 30]}, 50) == {0: 2, 1: 30}
-    assert toxicity.longest_fitting({}, 50) == {}
+    assert toxicity.fitting({0: {1: 1, 2: 2, 3: 3}, 1: {4: 4}}, 100) == {1, 2, 3, 4}
+    assert toxicity.fitting({0: {1: 10, 2: 10, 3: 10, 4: 20}, 1: {5: 45}}, 80) == {1, 2, 3, 5}
+    assert toxicity.fitting({0: {1: 1, 2: 2, 3: 90}, 1: {4: 3, 5: 30}}, 50) == {1, 2, 4, 5}
+    assert toxicity.fitting({0: {1: 500}, 1: {2: 3}}, 50) == {1, 2}
+    assert toxicity.fitting({}, 50) == set()
 
 
 def test_ann_exact_on_small(spark):
@@ -235,6 +256,44 @@ def test_ann_exact_on_small(spark):
         assert [r.vec_id for r in sorted(got, key=lambda r: r["rank"]) if r.query_id == q] == list(np.argsort(d, kind="stable")[:5])
 
 
+def recall(x, q, got, k=10):
+    d = ((x - x[q]) ** 2).sum(1)
+    d[q] = np.inf
+    return len(set(np.argsort(d, kind="stable")[:k].tolist()) & set(got)) / k
+
+
+def test_ann_recall(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(4000, 24)).astype(np.float32).astype(float)
+    frame = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "vec_id long, embedding array<float>").repartition(5)
+
+    def mean_recall(rerank):
+        found = {}
+        for r in ann.search(frame, F.col("id") % 100 == 0, rerank=rerank).collect():
+            found.setdefault(r.query_id, []).append(r.vec_id)
+        return np.mean([recall(x, q, g) for q, g in found.items()])
+
+    monkeypatch.setattr(ann, "CHUNK", 300)
+    monkeypatch.setattr(ann, "CHUNKS_A_TASK", 3)
+    monkeypatch.setattr(ann, "QUERY_BLOCK", 7)
+    assert mean_recall(40) > 0.9
+    good = ann.encode
+    monkeypatch.setattr(ann, "encode", lambda b, v: tuple(part[rng.permutation(len(v))] for part in good(b, v)))
+    assert mean_recall(40) < 0.2  # codes of other vectors find nothing
+
+
+def test_ann_odd_rows(spark):
+    big = 2**60 + 4
+    rows = [(0, [1.0, 2.0]), (0, [1.0, 2.0]), (3, [1.0, 2.0]), (2, [1.0, 2.0]), (None, [1.0, 2.0]), (5, [1.0, None]), (7, [float("inf"), 1.0]), (9, [1e30, 1.0]), (big, [0.5, 0.5]), (11, [1.0, 2.0, 3.0])]
+    frame = spark.createDataFrame([(i, v, "x", "y") for i, v in rows], "vec_id long, embedding array<double>, row string, score string")
+    got = ann.search(frame, F.col("id") % 4 == 0, k=3).collect()
+    first = sorted((r["rank"], r.vec_id, r.score) for r in got if r.query_id == 0)
+    # both rows of id 0 ask, each finds the other; ties go to the smaller id
+    assert first == [(1, 0, 0.0)] * 2 + [(2, 2, 0.0)] * 2 + [(3, 3, 0.0)] * 2
+    assert {r.query_id for r in got} == {0, big} and all(r.vec_id not in (5, 7, 11) for r in got)
+    assert ann.search(frame.limit(0), F.col("id") % 4 == 0).count() == 0
+
+
 @pytest.mark.parametrize("shape", [(5, 7), (4, 6, 3)])
 def test_media_round_trip(shape):
     image = np.random.default_rng(2).integers(0, 256, shape).astype(np.uint8)
@@ -250,6 +309,23 @@ def test_media_texts(spark):
     assert got[3].n_bytes == 0 and got[3].payload_bytes == 64
     padded = ("x" * 30000).encode() + b"\0" * 16
     assert got[8].payload_sha256 == hashlib.sha256(padded).hexdigest()
+    tall = np.arange(5000 * 64, dtype=np.int64).astype(np.uint8).reshape(-1, 64)
+    assert (media.read_back(media.stored(tall)) == tall).all() and media.stored(tall).count(b"NUMPY") == 5
+
+
+def test_images(spark):
+    image = np.random.default_rng(3).integers(0, 256, (40, 60, 3)).astype(np.uint8)
+    bmp, pgm = media.encode_bmp(image), media.encode_netpbm(image[:, :, 0])
+    big = 2**60 + 1
+    frame = spark.createDataFrame([(big, bytearray(bmp), 1), (None, bytearray(pgm), 2), (3, None, 3), (4, bytearray(b""), 4), (5, bytearray(b"P5\n9 9\n255\nxx"), 5), (big, bytearray(bmp), 6)], "id long, data binary, npy long")
+    out = media.images(frame, "id", "data", 20, 30, 16).collect()
+    mine = [r for r in out if r.id == big]
+    assert len(mine) == 2 * 2 * 2 and {r.error for r in mine} == {None}
+    parts = {(r.tile_row, r.tile_col): np.load(BytesIO(bytes(r.npy))) for r in mine}
+    whole = np.concatenate([np.concatenate([parts[y, x] for x in (0, 1)], axis=1) for y in (0, 1)])
+    assert (whole == np.rint(image.reshape(20, 2, 30, 2, 3).mean(axis=(1, 3))).astype(np.uint8)).mean() > 0.99
+    assert sorted(str(r.id) for r in out if r.error) == ["3", "4", "5"] and len([r for r in out if r.id is None]) == 4
+    assert media.images(frame.limit(0), "id", "data", 2, 2).count() == 0
 
 
 def test_preference(spark):
@@ -259,12 +335,14 @@ def test_preference(spark):
     assert [(r.chosen_id, r.prompt_turns) for r in out] == [(1, 1), (3, 1)]
     assert out[0].prompt == "<|user|>\nq\n<|end|>\n" and "good" in out[0].chosen and "bad" in out[0].rejected and out[1].chosen == ""
     assert preference.pairs_by_prompt(conv).count() == 2
-    odd = [(-2, 0, "user", "q"), (-1, 0, "user", None), (2, 0, "user", "q"), (2, 0, "user", "q"), (3, 1, None, "z"), (3, 0, "user", "q"), (4, 0, "user", "q"), (None, 0, "user", "z")]
-    near = preference.adjacent_pairs(spark.createDataFrame(odd, conv.schema))
-    assert sorted((r.chosen_id, r.rejected_id, len(r.chosen), len(r.rejected)) for r in near.collect()) == [(-2, -1, 1, 1), (2, 3, 1, 2)]
-    asked = spark.createDataFrame([(-2, -1), (2, 3)], "chosen_id long, rejected_id long")
-    assert sorted(preference.format_turns(near).collect()) == sorted(preference.format_pairs(spark.createDataFrame(odd, conv.schema), asked).collect())
-    assert preference.adjacent_pairs(conv.limit(0)).count() == 0
+    odd = [(-2, 0, "user", "q"), (-1, 0, "user", None), (2, 0, "user", "q"), (2, 0, "user", "q"), (2, 1, "assistant", "A"), (2, 2, "user", "more"), (3, 1, "assistant", "B"), (3, 0, "user", "q"), (4, 0, "assistant", "alone"), (None, 0, "user", "z")]
+    made = {r.chosen_id: r for r in preference.format_turns(preference.swapped(spark.createDataFrame(odd, conv.schema))).collect()}
+    assert sorted(made) == [-2, -1, 2, 3, 4]
+    assert (made[2].rejected_id, made[2].prompt_turns) == (3, 1) and "B" in made[2].rejected and "more" in made[2].rejected and "A" in made[2].chosen
+    assert (made[3].rejected_id, made[3].prompt_turns) == (2, 1) and made[3].rejected == "<|assistant|>\nA\n<|end|>\n"
+    assert made[4].rejected_id is None and made[4].rejected == "" and made[4].distinct
+    assert made[-2].rejected_id == -2 and not made[-2].distinct and made[-2].prompt_turns == 1
+    assert preference.swapped(conv.limit(0)).count() == 0
 
 
 def brute_kneser_ney(trusted, order):
@@ -310,7 +388,9 @@ def test_quality_matches_brute_force(spark):
     labels = spark.createDataFrame([(i, 1) for i in range(len(base))] + [(4, 0), (None, 1)], "doc_id long, quality int")
     got = quality.classify(texts, labels).collect()
     assert len(got) == len(asked) + 2
-    p = brute_kneser_ney([*base, base[0]], quality.ORDER)  # the repeated row is trusted text as well
+    counted = {r.doc_id for r in labels.filter("quality = 1").filter(quality._counted()).collect()}
+    assert 0 < len(counted & {0, 1, 2, 3}) <= 4
+    p = brute_kneser_ney([t for i, t in [*enumerate(base), (0, base[0])] if i in counted], quality.ORDER)  # the repeated row is trusted text as well
     for c in (b"the ", b"zzzz", b"n th"):
         assert np.isclose(sum(p(c + bytes([b])) for b in range(256)), 1)
     for r in got:
