@@ -74,6 +74,14 @@ def patch_id(url: Column, cve: Column) -> Column:
     return F.concat(F.substring_index(F.regexp_replace(url, "/+$", ""), "/", -1), F.lit("/"), cve)
 
 
+def below(path: Column, root: str | None) -> Column:
+    """A path relative to a folder that it begins with; other paths stay."""
+    if not root:
+        return path
+    prefix = root.rstrip("/") + "/"
+    return F.when(F.startswith(path, F.lit(prefix)), F.substring(path, F.lit(len(prefix) + 1), F.length(path))).otherwise(path)
+
+
 def short_name(full: Column) -> Column:
     return F.substring_index(full, ":", -1)
 
@@ -96,7 +104,7 @@ def repo_folder(url: Column) -> Column:
     t = F.regexp_replace(F.regexp_replace(url, "^[a-z+]+://", ""), "/+$", "")
     t = F.regexp_replace(F.regexp_replace(t, "\\.git$", ""), "^([^:]*):", "$1/")
     parts = F.filter(F.split(t, "/"), lambda x: x != "")
-    return F.array_join(F.when(F.size(parts) >= 3, F.slice(parts, 2, 1000)).otherwise(parts), "__")
+    return F.array_join(F.when(F.size(parts) >= 3, F.slice(parts, F.lit(2), F.size(parts))).otherwise(parts), "__")
 
 
 def path_safe(c: Column) -> Column:

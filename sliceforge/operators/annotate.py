@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sliceforge.functions.text import canonical_id, short_name
 from sliceforge.operators.slicing import patch_distance
+from sliceforge.runtime import materialize
 from sliceforge.schemas import SAMPLE
 
 #: List field of each edge type and direction.
@@ -23,10 +24,18 @@ LISTS = {
 
 
 def canonical_ids(nodes: DataFrame, keys: list[str] = SAMPLE) -> DataFrame:
-    """(keys, nid, canonical): dense numbers by function, line, column and raw id as text, from 0 in each sample."""
-    order = Window.partitionBy(*keys).orderBy("function", "line", "column", F.col("nid").cast("string"))
-    nth = F.row_number().over(order) - 1
-    return nodes.select(*keys, "nid", canonical_id(F.col(keys[0]), F.col(keys[1]), nth).alias("canonical"))
+    """(keys, nid, canonical): dense numbers by function, line, column and raw id as text, from 0 in each sample.
+
+    Nodes are dealt by range, numbered within each range, and moved by what the sample has in earlier ranges;
+    so a large sample is ordered by many tasks.
+    """
+    order = ["function", "line", "column", "raw"]
+    own = nodes.select(*keys, "nid", "function", "line", "column").withColumn("raw", F.col("nid").cast("string"))
+    ranged = materialize(own.repartitionByRange(*keys, *order).withColumn("part", F.spark_partition_id()), "ranged")
+    inside = ranged.withColumn("nth", F.row_number().over(Window.partitionBy("part", *keys).orderBy(*order)) - 1)
+    before = Window.partitionBy(*keys).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
+    starts = ranged.groupBy(*keys, "part").agg(F.count(F.lit(1)).alias("n")).withColumn("first", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
+    return inside.join(starts, [*keys, "part"]).select(*keys, "nid", canonical_id(F.col(keys[0]), F.col(keys[1]), F.col("first") + F.col("nth")).alias("canonical"))
 
 
 def neighbour_lists(edges: DataFrame, ids: DataFrame, keys: list[str] = SAMPLE) -> DataFrame:
@@ -48,9 +57,14 @@ def cross_function(edges: DataFrame, keys: list[str] = SAMPLE) -> DataFrame:
     return touching.select(*keys, F.explode(F.array("src", "dst")).alias("nid")).distinct()
 
 
-def annotate(nodes: DataFrame, edges: DataFrame, patch: DataFrame, chosen: DataFrame, functions: DataFrame, commits: DataFrame | None = None, keys: list[str] = SAMPLE) -> DataFrame:
+def annotate_counts(records: DataFrame, keys: list[str] = SAMPLE) -> DataFrame:
+    """Nodes, labelled nodes and cross-function nodes of each sample."""
+    return records.groupBy(*keys).agg(F.count(F.lit(1)).alias("nodes"), F.count_if(F.col("label") == 1).alias("labelled"), F.count_if("is_cross_function").alias("cross_function"))
+
+
+def annotate(nodes: DataFrame, edges: DataFrame, patch: DataFrame, chosen: DataFrame, functions: DataFrame, commits: DataFrame | None = None, keys: list[str] = SAMPLE, ids: DataFrame | None = None) -> DataFrame:
     """The emitted node relation. nodes must carry is_sink and sink_reason; chosen is the slice (keys, id)."""
-    ids = canonical_ids(nodes, keys)
+    ids = canonical_ids(nodes, keys) if ids is None else ids
     meta = functions.select(*keys, F.col("function_full").alias("function"), "role", F.col("file").alias("function_file"), "modified_lines").dropDuplicates([*keys, "function"])
     empty = F.array().cast("array<string>")
     out = (

@@ -16,7 +16,8 @@ def lines(diffs: DataFrame, key: str = "patch_id", text: str = "diff") -> DataFr
     return diffs.select(key, F.posexplode(parts).alias("pos", "raw"))
 
 
-def _walked(diff_lines: DataFrame, key: str, strict_headers: bool) -> DataFrame:
+def walked(diff_lines: DataFrame, key: str = "patch_id", strict_headers: bool = False) -> DataFrame:
+    """Lines inside hunks with their file, segment, tag and numbers in the old and the new version."""
     order = Window.partitionBy(key).orderBy("pos")
     so_far = order.rowsBetween(Window.unboundedPreceding, 0)
     rows = diff_lines.filter("raw IS NOT NULL AND raw <> ''")
@@ -26,7 +27,7 @@ def _walked(diff_lines: DataFrame, key: str, strict_headers: bool) -> DataFrame:
         rows = rows.withColumn("skip", old_header)
     else:
         rows = rows.withColumn("skip", F.lit(False))
-    path = strip(F.substring("raw", 5, 1 << 20))
+    path = strip(F.substring(F.col("raw"), F.lit(5), F.length("raw")))
     path = F.when(path == "/dev/null", "").otherwise(F.regexp_replace(path, "^b/", ""))
     rows = (
         rows.withColumn("header", header)
@@ -54,21 +55,21 @@ def modified_lines(diff_lines: DataFrame, key: str = "patch_id", strict_headers:
     line of the file before it; strict_headers leaves such lines out. With fill, a file without removed
     lines gets the context lines next to its added ones (the first hunk that has any).
     """
-    walked = _walked(diff_lines, key, strict_headers)
-    removed = walked.filter("tag = '-'").select(key, "file", F.lit("vulnerable").alias("version"), F.col("old").cast("int").alias("line"))
-    added = walked.filter("tag = '+'").select(key, "file", F.lit("fixed").alias("version"), F.col("new").cast("int").alias("line"))
+    steps = walked(diff_lines, key, strict_headers)
+    removed = steps.filter("tag = '-'").select(key, "file", F.lit("vulnerable").alias("version"), F.col("old").cast("int").alias("line"))
+    added = steps.filter("tag = '+'").select(key, "file", F.lit("fixed").alias("version"), F.col("new").cast("int").alias("line"))
     out = removed.unionByName(added)
     if fill:
-        out = out.unionByName(context_lines(walked, key, window).select(key, "file", F.lit("vulnerable").alias("version"), "line"))
+        out = out.unionByName(context_lines(steps, key, window).select(key, "file", F.lit("vulnerable").alias("version"), "line"))
     return out.distinct()
 
 
-def context_lines(walked: DataFrame, key: str = "patch_id", window: int = 2) -> DataFrame:
+def context_lines(steps: DataFrame, key: str = "patch_id", window: int = 2) -> DataFrame:
     """Context lines beside pure additions: among the first `window` after an added line, or among the last
     `window` before one with no removed line between."""
     order = Window.partitionBy(key, "seg").orderBy("pos")
     back, ahead = order.rowsBetween(Window.unboundedPreceding, 0), order.rowsBetween(0, Window.unboundedFollowing)
-    counted = walked.withColumn("cc", F.sum(F.when(F.col("tag") == " ", 1).otherwise(0)).over(back)).withColumn("mc", F.sum(F.when(F.col("tag") == "-", 1).otherwise(0)).over(back))
+    counted = steps.withColumn("cc", F.sum(F.when(F.col("tag") == " ", 1).otherwise(0)).over(back)).withColumn("mc", F.sum(F.when(F.col("tag") == "-", 1).otherwise(0)).over(back))
     plus = F.col("tag") == "+"
     counted = (
         counted.withColumn("cc_last", F.last(F.when(plus, F.col("cc")), ignorenulls=True).over(back))
@@ -79,5 +80,5 @@ def context_lines(walked: DataFrame, key: str = "patch_id", window: int = 2) ->
         (F.col("tag") == " ") & ((F.col("cc") - F.col("cc_last") <= window) | ((F.col("mc_next") == F.col("mc")) & (F.col("cc_next") - F.col("cc") < window)))
     )
     first_seg = kept.groupBy(key, "file").agg(F.min("seg").alias("seg"))
-    with_removed = walked.filter("tag = '-'").select(key, "file").distinct()
+    with_removed = steps.filter("tag = '-'").select(key, "file").distinct()
     return kept.join(first_seg, [key, "file", "seg"]).join(with_removed, [key, "file"], "left_anti").select(key, "file", F.col("old").cast("int").alias("line"))

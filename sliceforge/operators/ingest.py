@@ -11,8 +11,15 @@ from sliceforge.schemas import BANNED, C_LANGUAGES, LANGUAGE_COLUMNS
 REQUIRED = ("cve", "fixes", "commits", "cwe_classification")
 
 
-def missing_tables(spark, names=REQUIRED) -> list[str]:
-    return [n for n in names if not spark.catalog.tableExists(n)]
+def missing_tables(have, names=REQUIRED) -> list[str]:
+    """Required tables that a catalogue lacks; `have` lists its tables."""
+    present = {n.lower() for n in have}
+    return [n for n in names if n not in present]
+
+
+def banned_projects(more=()) -> tuple[str, ...]:
+    """The fixed list and the user's own, each once."""
+    return tuple(dict.fromkeys([*BANNED, *(m.strip().lower() for m in more if m.strip())]))
 
 
 def language_column(repository: DataFrame | None) -> str | None:
@@ -84,7 +91,18 @@ def work_queue(rows: DataFrame, c_only: bool = True, banned=BANNED, limit: int |
         F.col("cve_id").alias("cve"),
         "cwes",
     )
-    return queue if limit is None else queue.orderBy("cve", "patch_id").limit(limit)
+    # a limit that cuts nothing orders nothing
+    return queue if limit is None or queue.limit(limit + 1).count() <= limit else queue.orderBy("cve", "patch_id").limit(limit)
+
+
+def weakness_counts(queue: DataFrame, k: int = 10) -> DataFrame:
+    """The most frequent weakness ids of a queue: (cwe, n)."""
+    return top(queue.select(F.explode("cwes").alias("cwe")), "cwe", k)
+
+
+def project_counts(queue: DataFrame, k: int = 10) -> DataFrame:
+    """The projects with the most entries: (project, n)."""
+    return top(queue.select(F.substring_index("repo_url", "/", -1).alias("project")), "project", k)
 
 
 def reject_counts(rows: DataFrame, c_only: bool = True, banned=BANNED) -> DataFrame:

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sliceforge.functions.text import first_filled
-from sliceforge.operators.graph import bfs, bfs_labelled, climb, khop_roles, nearest_marked
+from sliceforge.functions.text import below, first_filled, strip
+from sliceforge.operators.graph import bfs, bfs_labelled, climb, khop_roles, nearest_marked, search
 from sliceforge.operators.joins import containing_or_nearest
 from sliceforge.runtime import materialize
-from sliceforge.schemas import BRANCHES, CONTROL_TYPES, LOOPS, OPERATOR, OPERATOR_TYPES, SUB_EXPRESSIONS
+from sliceforge.schemas import BRANCHES, CONTROL_TYPES, LOOPS, NO_CHANGES, OPERATOR, OPERATOR_TYPES, SUB_EXPRESSIONS
 
 GRAPH = ["graph_id"]
 
@@ -19,9 +19,8 @@ def _lookup(values: dict[str, str], key: Column) -> Column:
 
 
 def statement_type(label: Column, name: Column, control: Column) -> Column:
-    operators = {f"{OPERATOR}.{op}": kind for kind, ops in OPERATOR_TYPES.items() for op in ops.split()}
     return (
-        F.when(label == "CALL", F.coalesce(_lookup(operators, F.coalesce(name, F.lit(""))), F.lit("CALL")))
+        F.when(label == "CALL", F.coalesce(_lookup(OPERATOR_TYPES, F.coalesce(name, F.lit(""))), F.lit("CALL")))
         .when(label == "CONTROL_STRUCTURE", F.coalesce(_lookup(CONTROL_TYPES, F.coalesce(control, F.lit(""))), F.lit("CONTROL")))
         .when(label == "RETURN", "RETURN")
         .when(label == "LOCAL", "DECL")
@@ -31,18 +30,18 @@ def statement_type(label: Column, name: Column, control: Column) -> Column:
     )
 
 
-def methods(nodes: DataFrame, keys: list[str] = GRAPH) -> DataFrame:
-    """Methods that stand for code: (keys, id, full_name, name, file, start, end)."""
+def methods(nodes: DataFrame, keys: list[str] = GRAPH, root: str | None = None) -> DataFrame:
+    """Methods that stand for code: (keys, id, full_name, name, file, start, end); files under `root` are named from there."""
     m = nodes.filter("_label = 'METHOD'").select(
         *keys,
         "id",
         first_filled(F.col("fullName"), F.col("name"), default="").alias("full_name"),
         F.coalesce("name", F.lit("")).alias("name"),
-        F.coalesce("filename", F.lit("")).alias("file"),
+        below(F.coalesce("filename", F.lit("")), root).alias("file"),
         F.coalesce("lineNumber", F.lit(0)).alias("start"),
         F.coalesce("lineNumberEnd", F.lit(0)).alias("end"),
     )
-    return m.filter((F.col("full_name") != "") & ~F.col("name").startswith(OPERATOR) & ~F.col("name").isin("<global>", "<includes>") & ~F.col("full_name").rlike(":<(global|includes)>$"))
+    return m.filter((F.col("full_name") != "") & ~F.col("full_name").startswith(OPERATOR) & ~F.col("name").isin("<global>", "<includes>") & ~F.col("full_name").rlike(":<(global|includes)>$"))
 
 
 def ownership(nodes: DataFrame, edges: DataFrame, claimers: DataFrame, keys: list[str] = GRAPH) -> DataFrame:
@@ -57,13 +56,19 @@ def call_graph(nodes: DataFrame, edges: DataFrame, keys: list[str] = GRAPH) -> t
     """(calls (keys, caller, callee), statistics): each call is orphan (no owner), external (unknown target) or resolved."""
     known = materialize(methods(nodes, keys), "methods")
     own = ownership(nodes, edges, known, keys)
-    calls = nodes.filter("_label = 'CALL'").withColumn("target", first_filled(F.col("methodFullName"), F.col("name"), default="")).filter((F.col("target") != "") & ~F.col("target").startswith(OPERATOR))
+    calls = nodes.filter("_label = 'CALL'").withColumn("target", F.coalesce("methodFullName", F.lit(""))).filter((F.col("target") != "") & ~F.col("target").startswith(OPERATOR))
     named = known.select(*keys, F.col("id").alias("owner"), F.col("full_name").alias("caller"))
     targets = known.select(*keys, F.col("full_name").alias("target")).distinct().withColumn("callee", F.col("target"))
     tagged = calls.select(*keys, "id", "target").join(own, [*keys, "id"], "left").join(named, [*keys, "owner"], "left").join(targets, [*keys, "target"], "left")
     status = F.when(F.col("caller").isNull(), "orphan").when(F.col("callee").isNull(), "external").otherwise("resolved")
-    tagged = materialize(tagged.withColumn("status", status), "calls")
-    stats = tagged.groupBy(*keys).agg(*[F.count_if(F.col("status") == s).alias(s) for s in ("resolved", "external", "orphan")])
+    tagged = tagged.withColumn("status", status)
+    first = tagged.filter("status = 'external'").select(*keys, "target").distinct().withColumn("nth", F.row_number().over(Window.partitionBy(*keys).orderBy("target"))).filter("nth <= 5")
+    tagged = materialize(tagged.join(first, [*keys, "target"], "left"), "calls")
+    stats = tagged.groupBy(*keys).agg(
+        *[F.count_if(F.col("status") == s).alias(s) for s in ("resolved", "external", "orphan")],
+        # five unknown targets, for diagnosis
+        F.slice(F.array_sort(F.collect_set(F.when((F.col("status") == "external") & (F.col("nth") <= 5), F.col("target")))), 1, 5).alias("unknown_targets"),
+    )
     return tagged.filter("status = 'resolved'").select(*keys, "caller", "callee").distinct(), stats
 
 
@@ -82,7 +87,7 @@ def candidate_functions(modified: DataFrame, known: DataFrame, calls: DataFrame,
     )
     meta = known.select(*keys, F.col("full_name").alias("function_full"), "name", "file").dropDuplicates([*keys, "function_full"])
     out = every.join(meta, [*keys, "function_full"], "left")
-    skipped = modified.select(*keys).distinct().join(patched.select(*keys).distinct(), keys, "left_anti").withColumn("reason", F.lit("no function-scope changes on this version"))
+    skipped = modified.select(*keys).distinct().join(patched.select(*keys).distinct(), keys, "left_anti").withColumn("reason", F.lit(NO_CHANGES))
     return out, skipped
 
 
@@ -99,11 +104,12 @@ def scoped(nodes: DataFrame, edges: DataFrame, candidates: DataFrame, keys: list
     return inside, kept, missing
 
 
-def statement_graph(nodes: DataFrame, edges: DataFrame, keys: list[str] = GRAPH) -> tuple[DataFrame, DataFrame, DataFrame]:
+def statement_graph(nodes: DataFrame, edges: DataFrame, keys: list[str] = GRAPH, lines: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Scoped nodes (with owner) and edges -> statement nodes, statement edges, and where each node was lifted to.
 
     Edges (keys, src, dst, edge_key, edge_type): control flow, data flow and calls between different
-    statements, once each. Variables of a statement are those in its whole subtree (no cap on its size).
+    statements, once each. Variables of a statement are those in its whole subtree (no cap on its size). `lines`
+    (keys, file, line, text) fills code that the export left empty.
     """
     ast = edges.filter("etype = 'AST'")
     # the last parent wins; the export has one
@@ -153,6 +159,9 @@ def statement_graph(nodes: DataFrame, edges: DataFrame, keys: list[str] = GRAPH)
             first_filled(F.col("filename"), F.col("owner_file")).alias("file"),
         )
     )
+    if lines is not None:
+        own = lines.select(*keys, "file", "line", F.col("text").alias("source")).dropDuplicates([*keys, "file", "line"])
+        out = out.join(own, [*keys, "file", "line"], "left").withColumn("code", F.when(F.col("code") != "", F.col("code")).otherwise(strip(F.coalesce("source", F.lit(""))))).drop("source")
     return out, lift_edges(edges, lifted, keys), lifted
 
 
@@ -196,26 +205,41 @@ def _depths(nodes: DataFrame, edges: DataFrame, keys: list[str], kind: str) -> D
 
 
 def _variables(stmts: DataFrame, nodes: DataFrame, ast: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(used, declared) of each statement's subtree, and the variable that an assignment writes."""
-    roots = stmts.select(*keys, F.col("id").alias("root"), "id")
-    below = bfs_labelled(ast, roots, keys, "root")
+    """(used, declared) of each statement's subtree, and the variable that an assignment writes.
+
+    Names climb from their nodes to all ancestors, each name once a node: what moves is as large as the answer.
+    """
     names = nodes.filter("_label IN ('IDENTIFIER', 'LOCAL') AND name <> ''").select(*keys, "id", "_label", "name")
-    met = below.join(names, [*keys, "id"])
-    used = met.groupBy(*keys, F.col("root").alias("id")).agg(
+    up = ast.select(*keys, F.col("dst").alias("src"), F.col("src").alias("dst"))
+    met = search(up, names, keys, ["_label", "name"]).join(stmts.select(*keys, "id"), [*keys, "id"], "left_semi")
+    used = met.groupBy(*keys, "id").agg(
         F.collect_set(F.when(F.col("_label") == "IDENTIFIER", F.col("name"))).alias("used"), F.collect_set(F.when(F.col("_label") == "LOCAL", F.col("name"))).alias("declared")
     )
     writes = stmts.filter((F.col("_label") == "CALL") & F.col("name").startswith(f"{OPERATOR}.assignment")).select(*keys, F.col("id").alias("src"))
-    left = ast.join(writes, [*keys, "src"]).groupBy(*keys, F.col("src").alias("root")).agg(F.min_by("dst", F.struct("child_pos", "dst")).alias("id"))
-    under = bfs_labelled(ast, left, keys, "root")
-    place = ast.select(*keys, F.col("dst").alias("id"), "child_pos").groupBy(*keys, "id").agg(F.min("child_pos").alias("child_pos"))
-    first = (
-        under.join(names.filter("_label = 'IDENTIFIER'"), [*keys, "id"])
-        .join(place, [*keys, "id"], "left")
-        .groupBy(*keys, F.col("root").alias("id"))
-        .agg(F.min_by("name", F.struct("depth", "child_pos", "id")).alias("lhs"))
-        .select(*keys, "id", F.array("lhs").alias("assigned"))
-    )
-    return used, first
+    return used, _first_identifiers(ast.join(writes, [*keys, "src"]), nodes, ast, keys)
+
+
+def _first_identifiers(children: DataFrame, nodes: DataFrame, ast: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, id, assigned) for each src of children: the first identifier, in breadth-first order, under its first child.
+
+    Of nodes at one depth the order is that of their paths of child positions. A level is searched at a time,
+    and a root that has met an identifier goes no further.
+    """
+    place = F.col("child_pos")
+    level = children.groupBy(*keys, F.col("src").alias("root")).agg(F.min_by("dst", F.struct("child_pos", "dst")).alias("id")).withColumn("path", F.array().cast("array<bigint>"))
+    kind = nodes.select(*keys, "id", (F.col("_label") == "IDENTIFIER").alias("hit"), "name")
+    arcs = materialize(ast.select(*keys, F.col("src").alias("id"), F.col("dst").alias("next"), place.cast("bigint").alias("at")), "ast")
+    out: DataFrame | None = None
+    while True:
+        level = materialize(level.join(kind, [*keys, "id"]), "lhs")
+        if level.isEmpty():
+            break
+        first = level.filter("hit").groupBy(*keys, "root").agg(F.min_by("name", F.struct("path", "id")).alias("lhs"))
+        out = first if out is None else out.unionByName(first)
+        level = level.drop("hit", "name").join(first, [*keys, "root"], "left_anti").join(arcs, [*keys, "id"]).select(*keys, "root", F.col("next").alias("id"), F.concat("path", F.array("at")).alias("path"))
+    if out is None:
+        out = level.select(*keys, "root", F.col("name").alias("lhs"))
+    return out.filter("lhs <> ''").select(*keys, F.col("root").alias("id"), F.array("lhs").alias("assigned"))
 
 
 def size_report(stmts: DataFrame, keys: list[str] = GRAPH, warn: int = 1000) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sliceforge.operators.graph import bfs, both_ways, symmetric
 from sliceforge.runtime import materialize
-from sliceforge.schemas import SAMPLE, TRAVERSED
+from sliceforge.schemas import EMPTY_SLICE, NO_PATCH_NODES, SAMPLE, TRAVERSED
 
 
 def traversed(edges: DataFrame) -> DataFrame:
@@ -42,7 +42,7 @@ def compute_slice(nodes: DataFrame, edges: DataFrame, patch: DataFrame, sinks: D
     for df, name in ((patch, "n_patch"), (real, "n_sinks"), (forward, "n_forward"), (backward, "n_backward"), (chosen, "n_slice")):
         report = report.join(count(df, name), keys, "left")
     report = report.join(chosen.groupBy(*keys).agg(F.bool_or("fallback").alias("used_fallback")), keys, "left").fillna(0, ["n_patch", "n_sinks", "n_forward", "n_backward", "n_slice"])
-    skipped = F.when(F.col("n_patch") == 0, "no patch nodes on this version").when(F.col("used_fallback"), "empty intersection; used anchor-union fallback")
+    skipped = F.when(F.col("n_patch") == 0, NO_PATCH_NODES).when(F.col("used_fallback"), EMPTY_SLICE)
     report = report.withColumn("patch_as_sink", (F.col("n_sinks") == 0) & (F.col("n_patch") > 0)).withColumn("skipped", skipped).drop("used_fallback")
     return chosen.select(*keys, "id"), report
 
@@ -55,4 +55,4 @@ def slice_by_role(nodes: DataFrame, chosen: DataFrame, functions: DataFrame, key
 
 def patch_distance(edges: DataFrame, patch: DataFrame, keys: list[str] = SAMPLE) -> DataFrame:
     """Undirected distance to the nearest patch node: (keys, id, depth); unreachable nodes are absent."""
-    return bfs(materialize(symmetric(traversed(edges), keys), "sym"), patch, keys)
+    return bfs(symmetric(traversed(edges), keys), patch, keys)

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from sliceforge.functions.text import sample_of
 from sliceforge.operators.ingest import top
-from sliceforge.schemas import REQUIRED_FIELDS
+from sliceforge.runtime import materialize
+from sliceforge.schemas import REQUIRED_FIELDS, REQUIRED_FILES
 
 
 def label_distribution(nodes: DataFrame, label: str = "label") -> DataFrame:
@@ -17,6 +18,11 @@ def label_distribution(nodes: DataFrame, label: str = "label") -> DataFrame:
     return counts.join(F.broadcast(total)).select(label, "n", (F.col("n") * 100.0 / F.col("total")).alias("percent"))
 
 
+def sink_reasons(sinks: DataFrame, k: int = 5) -> DataFrame:
+    """The most frequent reasons of emitted sinks."""
+    return top(sinks, "sink_reason", k)
+
+
 def type_distribution(nodes: DataFrame, k: int = 10) -> DataFrame:
     return top(nodes, "type", k)
 
@@ -63,16 +69,35 @@ def run_totals(nodes: DataFrame, skipped: DataFrame, queue: DataFrame) -> DataFr
     return done.join(F.broadcast(failed))
 
 
-def report(nodes: DataFrame, edges: DataFrame, skipped: DataFrame, raw_nodes: DataFrame | None = None) -> DataFrame:
-    """(check, value, is_red_flag), a row for each check."""
-    integrity = edge_integrity(edges, nodes)
-    counts = nodes.agg(F.count(F.lit(1)).alias("value")).select(F.lit("nodes").alias("check"), "value", (F.col("value") == 0).alias("is_red_flag"))
-    out = counts.unionByName(samples_of(nodes).agg(F.count(F.lit(1)).alias("value")).select(F.lit("samples").alias("check"), "value", (F.col("value") == 0).alias("is_red_flag")))
+def report(nodes: DataFrame, edges: DataFrame, functions: DataFrame, sinks: DataFrame, skipped: DataFrame, totals: DataFrame, raw_nodes: DataFrame | None = None, have: tuple[str, ...] = REQUIRED_FILES) -> DataFrame:
+    """(check, value, is_red_flag), a row for each check.
+
+    totals is the run's row (processed, skipped): a run whose entries were all skipped is flagged, as are
+    missing files, an empty dataset, missing fields, no samples, and unresolved or cross-sample edges.
+    unresolved_ppm gives unresolved edges in parts per million.
+    """
+    def one(df: DataFrame, check: str, value, flag) -> DataFrame:
+        return df.agg(value.cast("long").alias("value")).select(F.lit(check).alias("check"), "value", flag(F.col("value")).alias("is_red_flag"))
+
+    rows, never = F.count(F.lit(1)), lambda v: v < 0
+    spark = nodes.sparkSession
+    missing = [n for n in REQUIRED_FILES if n not in have]
+    out = spark.createDataFrame([("missing_files", len(missing), bool(missing))], "check string, value long, is_red_flag boolean")
+    for name, df, flag in (("nodes", nodes, lambda v: v == 0), ("edges", edges, never), ("functions", functions, never), ("sinks", sinks, never), ("skipped", skipped, never)):
+        out = out.unionByName(one(df, name, rows, flag))
+    out = out.unionByName(one(totals, "all_skipped", F.max(F.when((F.col("skipped") > 0) & (F.col("processed") == 0), 1).otherwise(0)), lambda v: v > 0))
+    out = out.unionByName(one(samples_of(nodes), "samples", rows, lambda v: v == 0))
+    walk = materialize(edge_integrity(edges, nodes), "walk")
     for name in ("unresolved", "cross_sample"):
-        out = out.unionByName(integrity.select(F.lit(name).alias("check"), F.col(name).alias("value"), (F.col(name) > 0).alias("is_red_flag")))
+        out = out.unionByName(one(walk, name, F.max(name), lambda v: v > 0))
+    out = out.unionByName(one(walk, "unresolved_ppm", F.max(F.coalesce(F.round(F.col("unresolved") * 1e6 / F.nullif(F.col("edges"), F.lit(0))), F.lit(0))), never))
     if raw_nodes is not None:
-        out = out.unionByName(missing_fields(raw_nodes).agg(F.count(F.lit(1)).alias("value")).select(F.lit("missing_fields").alias("check"), "value", (F.col("value") > 0).alias("is_red_flag")))
-    return out.unionByName(skipped.agg(F.count(F.lit(1)).alias("value")).select(F.lit("skipped").alias("check"), "value", F.lit(False).alias("is_red_flag")))
+        out = out.unionByName(one(missing_fields(raw_nodes), "missing_fields", rows, lambda v: v > 0))
+    return out
+
+
+def is_sound(checks: DataFrame) -> bool:
+    return checks.filter("is_red_flag").isEmpty()
 
 
 def remaining(queue: DataFrame, functions: DataFrame) -> DataFrame:

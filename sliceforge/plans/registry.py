@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sliceforge.functions import text as tx
-from sliceforge.operators import annotate, diff, graph, ingest, joins, program, sinks, slicing, validate
+from sliceforge.operators import annotate, graph, ingest, joins, program, sinks, slicing, validate
 from sliceforge.plans import analog as A
+from sliceforge.plans import catalogue, cpg
 from sliceforge.runtime import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,11 +51,6 @@ def _orders(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("o_orderkey", "o_custkey", F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("d"), "c_acctbal", "c_mktsegment", "n_name")
 
 
-@query(f"{_ORDERS} SELECT {_REASON} AS reject_reason, count(*) AS n FROM r WHERE {_REASON} IS NOT NULL GROUP BY 1")
-def ingest_filter_reasons(spark, d):
-    return _orders(spark, d).withColumn("reject_reason", F.expr(_REASON)).filter("reject_reason IS NOT NULL").groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n"))
-
-
 @query(
     f"{_ORDERS} SELECT o_custkey, o_orderkey FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY d, o_orderkey) AS rn FROM r WHERE {_REASON} IS NULL) WHERE rn = 1"
 )
@@ -97,29 +93,6 @@ def cwe_normalize(spark, d):
     return table(spark, d, "part").select("p_partkey", tx.normalize_cwe(raw).alias("cwe"))
 
 
-# --- diffs ----------------------------------------------------------------------------------------
-
-_DIFF = [
-    ("a", "--- a/foo.c\n+++ b/foo.c\n@@ -10,4 +10,5 @@ int f()\n x\n y\n-old\n+new\n+more\n z"),
-    ("b", "--- a/bar.c\n+++ b/bar.c\n@@ -4,4 +4,5 @@\n p\n q\n+added\n r\n s"),
-    ("c", "--- /dev/null\n+++ b/new.c\n@@ -0,0 +1,3 @@\n+1\n+2\n+3"),
-]
-
-
-def _diff_rows(spark: SparkSession) -> DataFrame:
-    return diff.lines(spark.createDataFrame(_DIFF, "patch_id string, diff string"))
-
-
-@query("SELECT * FROM (VALUES ('a','foo.c','vulnerable',12),('a','foo.c','fixed',12),('a','foo.c','fixed',13),('b','bar.c','fixed',6),('c','new.c','fixed',1),('c','new.c','fixed',2),('c','new.c','fixed',3)) t(patch_id,file,version,line)")
-def diff_modified_lines(spark, d):
-    return diff.modified_lines(_diff_rows(spark), fill=False)
-
-
-@query("SELECT * FROM (VALUES ('b','bar.c',4),('b','bar.c',5),('b','bar.c',6),('b','bar.c',7)) t(patch_id,file,line)")
-def diff_pure_addition_context(spark, d):
-    return diff.context_lines(diff._walked(_diff_rows(spark), "patch_id", False))
-
-
 # --- joins ----------------------------------------------------------------------------------------
 
 _NEAREST = f"""WITH {A.SPANS_SQL}, m AS (
@@ -150,16 +123,6 @@ def band_join(spark, d):
     return joins.near_lines(A.lines(spark, d).distinct(), marks, ["file"], 3)
 
 
-@query(
-    """SELECT CASE WHEN c.c_custkey IS NULL THEN 'orphan' WHEN n.n_nationkey IS NULL THEN 'external' ELSE 'resolved' END AS status, count(*) AS n
-FROM orders o LEFT JOIN customer c ON c.c_custkey = o.o_custkey AND c.c_custkey % 5 <> 0 LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey AND n.n_nationkey < 20 GROUP BY 1"""
-)
-def call_resolve_status(spark, d):
-    c, n = table(spark, d, "customer").filter("c_custkey % 5 <> 0"), table(spark, d, "nation").filter("n_nationkey < 20")
-    rows = table(spark, d, "orders").join(c, F.col("o_custkey") == F.col("c_custkey"), "left").join(n, F.col("c_nationkey") == F.col("n_nationkey"), "left")
-    return rows.groupBy(F.expr("CASE WHEN c_custkey IS NULL THEN 'orphan' WHEN n_nationkey IS NULL THEN 'external' ELSE 'resolved' END").alias("status")).agg(F.count(F.lit(1)).alias("n"))
-
-
 # --- graphs ---------------------------------------------------------------------------------------
 
 
@@ -179,13 +142,6 @@ def khop_expand_roles(spark, d):
     return graph.khop_roles(named.select(*A.KEYS, "caller", "callee").distinct(), hit, A.KEYS, 1).select("id", "role")
 
 
-@query(_graph("SELECT edge_type, count(*) AS n FROM (SELECT DISTINCT a.function AS f, b.function AS g, edge_type FROM e JOIN n a ON a.nid = e.src JOIN n b ON b.nid = e.dst WHERE a.function <> b.function) GROUP BY 1"))
-def edge_lift_dedupe(spark, d):
-    raw = A.edges(spark, d).select(F.lit("g").alias("graph_id"), "src", "dst", F.col("edge_type").alias("etype"))
-    lifted = A.nodes(spark, d).select(F.lit("g").alias("graph_id"), F.col("nid").alias("id"), F.col("function").alias("found"))
-    return program.lift_edges(raw.withColumn("etype", F.when(F.col("etype") == "DFG", "REACHING_DEF").otherwise(F.col("etype"))), lifted).groupBy("edge_type").agg(F.count(F.lit(1)).alias("n"))
-
-
 @query(
     """SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN 'ASSIGN' WHEN 1 THEN 'CALL' WHEN 2 THEN 'DO_WHILE' WHEN 3 THEN 'CONTROL' ELSE 'DECL' END AS stmt_type FROM part"""
 )
@@ -262,7 +218,7 @@ def sink_rules(spark, d):
 count(*) FILTER (sink_reason = 'user') AS user_marked, 'memcpy,strlen' AS apis_hit FROM y WHERE sink_reason IS NOT NULL"""
 )
 def sink_report(spark, d):
-    return sinks.sink_report(_marked(spark, d), A.KEYS).drop(*A.KEYS)
+    return sinks.sink_report(_marked(spark, d), A.KEYS).select("total", "cwe_api", "patch_proximity", "user_marked", "apis_hit")
 
 
 @query(_graph("""SELECT nid, printf('p:v:%05d', row_number() OVER (ORDER BY function, line, CAST(nid AS VARCHAR)) - 1) AS canonical FROM n"""))
@@ -322,3 +278,8 @@ def run_totals(spark, d):
     n = table(spark, d, "orders").select(F.col("o_custkey").alias("patch_id"), F.col("o_orderstatus").alias("version"), F.expr("CASE WHEN o_totalprice > 100000 THEN 1 ELSE 0 END").alias("label"))
     queue = table(spark, d, "customer").select(F.col("c_custkey").alias("patch_id"))
     return validate.run_totals(n, queue, queue)
+
+
+for _name, (_run, _sql) in (catalogue.QUERIES | cpg.QUERIES).items():
+    QUERIES[_name] = _run
+    ORACLES[_name] = _sql

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -36,25 +37,45 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a fresh one where it is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, a fresh local one, in local mode only."""
     set_dir = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
     if not set_dir:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         set_dir = f"file://{tempfile.mkdtemp(prefix='sliceforge-')}"
         spark.sparkContext.setCheckpointDir(set_dir)
     return set_dir
 
 
-def _drop(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+def _located(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    files, target = _located(spark, path)
+    files.delete(target, True)
+
+
+def path_exists(spark: SparkSession, pattern: str) -> bool:
+    """Whether a path, which may hold wildcards, names anything."""
+    files, target = _located(spark, pattern)
+    found = files.globStatus(target)
+    return found is not None and len(found) > 0
+
+
+def shared_path(spark: SparkSession, tag: str) -> str:
+    """A fresh path in the shared folder, removed at the end of the session."""
+    path = f"{shared_dir(spark)}/sliceforge-{tag}-{uuid.uuid4().hex}"
+    _written.append((spark, path))
+    return path
 
 
 @atexit.register
 def _clean() -> None:
     for spark, path in _written:
         try:
-            _drop(spark, path)
+            drop_path(spark, path)
         except Exception:  # noqa: BLE001  the session may be gone already
             return
 
@@ -62,12 +83,11 @@ def _clean() -> None:
 def materialize(df: DataFrame, tag: str = "t", partition_by: list[str] | None = None) -> DataFrame:
     """Write df to the shared folder and read it back: cuts lineage and survives lost executors."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/sliceforge-{tag}-{uuid.uuid4().hex}"
+    path = shared_path(spark, tag)
     writer = df.write.mode("error")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    _written.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -77,5 +97,5 @@ def release(df: DataFrame) -> None:
         for entry in list(_written):
             name = entry[1].rsplit("/", 1)[-1]
             if f"/{name}/" in f:
-                _drop(*entry)
+                drop_path(*entry)
                 _written.remove(entry)
