@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from sliceforge.functions import text as tx
 from sliceforge.operators import annotate, graph, ingest, joins, program, sinks, slicing, validate
 from sliceforge.plans import analog as A
-from sliceforge.plans import catalogue, cpg
+from sliceforge.plans import catalogue, cpg, datasets
 from sliceforge.runtime import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -226,12 +226,6 @@ def canonical_ids(spark, d):
     return annotate.canonical_ids(A.nodes(spark, d), A.KEYS).select("nid", "canonical")
 
 
-@query(_graph("SELECT src AS nid, string_agg(CAST(dst AS VARCHAR), ',' ORDER BY CAST(dst AS VARCHAR)) AS calls FROM (SELECT DISTINCT src, dst FROM e WHERE edge_type = 'CALL') GROUP BY 1"))
-def neighbor_lists(spark, d):
-    ids = A.nodes(spark, d).select(*A.KEYS, "nid", F.col("nid").cast("string").alias("canonical"))
-    return annotate.neighbour_lists(A.edges(spark, d), ids, A.KEYS).filter("size(CALL_edges) > 0").select("nid", F.array_join("CALL_edges", ",").alias("calls"))
-
-
 @query(_graph("SELECT DISTINCT nid FROM (SELECT src AS nid FROM e WHERE edge_type = 'CALL' UNION SELECT dst FROM e WHERE edge_type = 'CALL')"))
 def cross_function(spark, d):
     return annotate.cross_function(A.edges(spark, d), A.KEYS).select("nid")
@@ -240,19 +234,6 @@ def cross_function(spark, d):
 # --- datasets -------------------------------------------------------------------------------------
 
 
-@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
-def resume_anti(spark, d):
-    queue = table(spark, d, "customer").select(F.col("c_custkey").alias("patch_id"))
-    return validate.remaining(queue, table(spark, d, "orders").select(F.col("o_custkey").alias("patch_id"))).select(F.col("patch_id").alias("c_custkey"))
-
-
-@query("SELECT count(*) AS edges, count(*) FILTER (o_orderkey IS NULL) AS unresolved FROM lineitem LEFT JOIN (SELECT o_orderkey FROM orders WHERE o_orderkey % 10 <> 0) o ON o_orderkey = l_orderkey")
-def edge_integrity(spark, d):
-    ids = table(spark, d, "orders").filter("o_orderkey % 10 <> 0").select(F.col("o_orderkey").cast("string").alias("id"))
-    rows = table(spark, d, "lineitem").select(F.col("l_orderkey").cast("string").alias("src"), F.col("l_orderkey").cast("string").alias("dst"))
-    return validate.edge_integrity(rows, ids).select("edges", "unresolved")
-
-
 @query("SELECT toxic AS label, count(*) AS n, count(*) * 100.0 / (SELECT count(*) FROM labels) AS percent FROM labels GROUP BY 1")
 def label_distribution(spark, d):
     return validate.label_distribution(table(spark, d, "labels").withColumnRenamed("toxic", "label"))
@@ -280,6 +261,6 @@ def run_totals(spark, d):
     return validate.run_totals(n, queue, queue)
 
 
-for _name, (_run, _sql) in (catalogue.QUERIES | cpg.QUERIES).items():
+for _name, (_run, _sql) in (catalogue.QUERIES | cpg.QUERIES | datasets.QUERIES).items():
     QUERIES[_name] = _run
     ORACLES[_name] = _sql
