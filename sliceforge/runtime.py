@@ -57,11 +57,15 @@ def drop_path(spark: SparkSession, path: str) -> None:
     files.delete(target, True)
 
 
-def path_exists(spark: SparkSession, pattern: str) -> bool:
-    """Whether a path, which may hold wildcards, names anything."""
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that a pattern with wildcards names, hidden ones included."""
     files, target = _located(spark, pattern)
     found = files.globStatus(target)
-    return found is not None and len(found) > 0
+    return [] if found is None else [f.getPath().toString() for f in found]
+
+
+def path_exists(spark: SparkSession, pattern: str) -> bool:
+    return bool(matching(spark, pattern))
 
 
 def shared_path(spark: SparkSession, tag: str) -> str:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sliceforge.functions.text import LINE_BREAK, camel, path_safe
-from sliceforge.runtime import drop_path, path_exists, shared_path
+from sliceforge.runtime import drop_path, matching, path_exists, shared_path
 from sliceforge.schemas import CPG_NODE_COLUMNS, QUEUE_DDL
 
 _KEYS = ("patch_id", "commit_vuln", "commit_fix")
@@ -115,15 +115,16 @@ def _graph_of() -> Column:
 def _part(spark: SparkSession, columns: list[tuple[str, str]], data: list[str], order: int, graph: Column) -> tuple[DataFrame | None, DataFrame | None]:
     """(nodes, edges) of data files with one header; one of them is None, both where there are no id columns."""
     at = {name: i for i, (name, _) in enumerate(columns)}
-    ddl = ", ".join(f"`c{i}` string" for i in range(len(columns)))
+    ddl = ", ".join([*(f"`c{i}` string" for i in range(len(columns))), "short string"])
     if ":ID" not in at and not (":START_ID" in at and ":END_ID" in at):
         return None, None
-    rows = spark.read.schema(ddl).csv(data, multiLine=True, escape='"', quote='"', mode="PERMISSIVE", emptyValue="", nullValue="\0")
+    rows = spark.read.schema(ddl).csv(data, multiLine=True, escape='"', quote='"', mode="PERMISSIVE", columnNameOfCorruptRecord="short")
     rows = rows.withColumn("graph_id", graph).withColumn("at", F.monotonically_increasing_id())
     if ":ID" in at:
         props = {camel(name): coerce(F.col(f"c{i}"), suffix) for i, (name, suffix) in enumerate(columns) if not name.startswith(":")}
-        # a blank label stays blank; a missing cell or column is unknown
-        label = F.coalesce(F.col(f"c{at[':LABEL']}"), F.lit("UNKNOWN")) if ":LABEL" in at else F.lit("UNKNOWN")
+        # a blank label of a whole row stays blank; in a short row, or without the column, it is unknown
+        blank = F.when(F.col("short").isNull(), "").otherwise("UNKNOWN")
+        label = F.coalesce(F.col(f"c{at[':LABEL']}"), blank) if ":LABEL" in at else F.lit("UNKNOWN")
         return rows.select("graph_id", F.col(f"c{at[':ID']}").alias("id"), F.struct(F.lit(order).alias("part"), "at").alias("place"), label.alias("_label"), *[c.alias(n) for n, c in props.items()]).filter("id <> ''"), None
     kind = F.col(f"c{at[':TYPE']}") if ":TYPE" in at else F.lit("UNKNOWN")
     return None, rows.select("graph_id", F.col(f"c{at[':START_ID']}").alias("src"), F.col(f"c{at[':END_ID']}").alias("dst"), kind.alias("etype"), F.col("at").alias("child_pos")).filter("src <> '' AND dst <> ''")
@@ -188,7 +189,7 @@ def load_cpgs(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
 
 def complete_graphs(spark: SparkSession, root: str, marker: str = ".complete") -> DataFrame:
     """(graph_id): graph folders that their export marked as finished; others are as good as absent."""
-    return spark.read.format("binaryFile").load(f"{root}/*/{marker}").select(F.element_at(F.split("path", "/"), -2).alias("graph_id")).distinct() if path_exists(spark, f"{root}/*/{marker}") else spark.createDataFrame([], "graph_id string")
+    return spark.createDataFrame([(m.split("/")[-2],) for m in matching(spark, f"{root}/*/{marker}")], "graph_id string")
 
 
 def drop_graph(spark: SparkSession, root: str, graph_id: str) -> None:
@@ -208,15 +209,15 @@ def write_dataset(out: str, nodes: DataFrame, edges: DataFrame, functions: DataF
     edges are those of emitted_edges(). Nodes go last but for functions, which mark a patch as done: a run that
     stops before them is taken up again from the patch.
     """
-    edges.write.mode("append").json(f"{out}/edges")
-    emitted_sinks(nodes).write.mode("append").json(f"{out}/sinks")
-    nodes.write.mode("append").json(f"{out}/nodes")
+    edges.write.mode("append").option("ignoreNullFields", False).json(f"{out}/edges")
+    emitted_sinks(nodes).write.mode("append").option("ignoreNullFields", False).json(f"{out}/sinks")
+    nodes.write.mode("append").option("ignoreNullFields", False).json(f"{out}/nodes")
     if skipped is not None:
-        skipped.write.mode("append").json(f"{out}/skipped")
+        skipped.write.mode("append").option("ignoreNullFields", False).json(f"{out}/skipped")
     if debug:
-        sample_nodes(nodes).write.mode("append").partitionBy("sample").json(f"{out}/samples")
-        sample_counts(nodes).write.mode("append").json(f"{out}/sample_counts")
-    functions.write.mode("append").json(f"{out}/functions")
+        sample_nodes(nodes).write.mode("append").option("ignoreNullFields", False).partitionBy("sample").json(f"{out}/samples")
+        sample_counts(nodes).write.mode("append").option("ignoreNullFields", False).json(f"{out}/sample_counts")
+    functions.write.mode("append").option("ignoreNullFields", False).json(f"{out}/functions")
 
 
 def skip_rows(rows: DataFrame) -> DataFrame:

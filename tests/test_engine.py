@@ -1,11 +1,17 @@
 """Operators on small graphs, diffs and catalogues."""
 
+import sqlite3
+
 from pyspark.sql import functions as F
 
+from sliceforge import __main__ as command
 from sliceforge.functions import text as tx
 from sliceforge.operators import annotate, diff, graph, ingest, joins, program, sinks, slicing, validate
 from sliceforge.operators.components import connected_components
+from sliceforge.plans import build
+from sliceforge.schemas import RunConfig
 from sliceforge.sources import files
+from sliceforge.streaming import queue
 
 KEYS = ["patch_id", "version"]
 
@@ -15,12 +21,15 @@ def rows(df):
 
 
 def test_diff_headers(spark):
-    two = "--- a/foo.c\n+++ b/foo.c\n@@ -10,3 +10,4 @@\n a\n b\n-c\n+d\n e\n--- a/baz.c\n+++ b/baz.c\n@@ -100,1 +100,1 @@\n-x\n+y"
-    lines = diff.lines(spark.createDataFrame([("p", two)], "patch_id string, diff string"))
+    """Two files a patch; the second one's old header is a removed line of the first unless headers are read strictly."""
+    first = ["--- a/src/queue.h", "+++ b/src/queue.h", "@@ -31,4 +31,3 @@ struct queue", " int head;", "-int tail;", "-int size;", "+long size;", " };"]
+    second = ["--- /dev/null", "+++ b/src/ring.h", "@@ -0,0 +1,2 @@", "+#define RING 8", "+typedef int slot;"]
+    lines = diff.lines(spark.createDataFrame([("p", "\n".join([*first, *second]) + "\n")], "patch_id string, diff string"))
     plain = {(r.file, r.version, r.line) for r in diff.modified_lines(lines).collect()}
     strict = {(r.file, r.version, r.line) for r in diff.modified_lines(lines, strict_headers=True).collect()}
-    assert {("foo.c", "vulnerable", 12), ("foo.c", "fixed", 12), ("baz.c", "vulnerable", 100), ("baz.c", "fixed", 100)} == strict
-    assert plain - strict == {("foo.c", "vulnerable", 14)}
+    assert strict == {("src/queue.h", "vulnerable", 32), ("src/queue.h", "vulnerable", 33), ("src/queue.h", "fixed", 32), ("src/ring.h", "fixed", 1), ("src/ring.h", "fixed", 2)}
+    assert plain - strict == {("src/queue.h", "vulnerable", 35)}
+    assert diff.modified_lines(lines.limit(0)).count() == 0
 
 
 def test_urls_parents_classes(spark):
@@ -40,8 +49,8 @@ def test_ingest(spark):
     commits = spark.createDataFrame([(h % 1, "['1234567']", "2020-02-01"), (h % 2, "['1234567']", "2020-01-01"), (h % 3, "['1234567']", ""), (h % 4, "[]", "")], "hash string, parents string, author_date string")
     cwe = spark.createDataFrame([("C1", "CWE-2"), ("C1", "CWE-1"), ("C2", "CWE-1"), ("C3", "CWE-1")], "cve_id string, cwe_id string")
     source = ingest.source_rows(fixes, commits, cwe)
-    queue = ingest.work_queue(source).collect()
-    assert [(r.patch_id, r.commit_fix, r.cwes) for r in queue] == [("b/C1", h % 2, ["CWE-1", "CWE-2"])]
+    found = ingest.work_queue(source).collect()
+    assert [(r.patch_id, r.commit_fix, r.cwes) for r in found] == [("b/C1", h % 2, ["CWE-1", "CWE-2"])]
     assert rows(ingest.reject_counts(source)) == [("banned_project", 1), ("no_parent", 1)]
 
 
@@ -125,14 +134,142 @@ def test_components_and_roles(spark):
 
 
 def test_files_and_checks(spark, tmp_path):
-    (tmp_path / "q.jsonl").write_text('# note\n\n{"patch_id":"p","repo_url":"u","commit_vuln":"a","commit_fix":"b","extra_sinks":[{"file":"f","line":3},["g",4,"x"],7]}\nbroken\n{"patch_id":"z"}\n')
+    (tmp_path / "q.jsonl").write_text('# note\n\n{"patch_id":"p","repo_url":"u","commit_vuln":"a","commit_fix":"b","extra_sinks":[{"file":"f","line":3},["g",4,"x"],7]}\nbroken\n{"patch_id":"z"}\n{"patch_id":"n","commit_vuln":"a","commit_fix":"b"}\n')
     got = files.read_queue(spark, str(tmp_path / "q.jsonl")).collect()
-    assert [(r.patch_id, [tuple(s) for s in r.extra_sinks]) for r in got] == [("p", [("f", 3), ("g", 4)])]
+    assert [(r.patch_id, r.repo_url, [tuple(s) for s in r.extra_sinks]) for r in got] == [("p", "u", [("f", 3), ("g", 4)]), ("n", "", [])]
     (tmp_path / "nodes_M_header.csv").write_text(":ID,:LABEL,FULL_NAME:string,LINE_NUMBER:int\n")
-    (tmp_path / "nodes_M_data.csv").write_text('1,METHOD,"a\nb",x\n,METHOD,c,3\n2,,d,7\n')
+    (tmp_path / "nodes_M_data.csv").write_text('1,METHOD,"a\nb",x\n,METHOD,c,3\n2,,d,7\n3\n1,METHOD,again,\n')
     pairs = [(str(tmp_path / h), str(tmp_path / n)) for h, n in files.cpg_files(["nodes_M_header.csv", "nodes_M_data.csv", "edges_A_data.csv"])]
     nodes, _ = files.load_cpg(spark, pairs, "g")
-    assert rows(nodes.select("id", "_label", "fullName", F.coalesce("lineNumber", F.lit(-1)))) == [("1", "METHOD", "a\nb", -1), ("2", "UNKNOWN", "d", 7)]
+    assert sorted((tuple(r) for r in nodes.select("id", "_label", "fullName", F.coalesce("lineNumber", F.lit(-1))).collect()), key=str) == [("1", "METHOD", "again", -1), ("2", "", "d", 7), ("3", "UNKNOWN", None, -1)]
     n = spark.createDataFrame([("p:v:00000",), ("p:w:00000",)], "id string")
     e = spark.createDataFrame([("p:v:00000", "p:w:00000"), ("p:v:00000", "none")], "src string, dst string")
     assert tuple(validate.edge_integrity(e, n).first()) == (2, 1, 1)
+
+
+def test_lift_reaches_as_far_as_it_should(spark):
+    chain = spark.createDataFrame([("g", i, i - 1 if i else None, i == 0) for i in range(400)], "graph_id string, id long, parent long, marked boolean")
+    lifted = graph.nearest_marked(chain, ["graph_id"]).filter("found IS NOT NULL")
+    assert lifted.count() == 128  # the node itself and 127 ancestors
+    flags = spark.createDataFrame([("g", i, i - 1 if i else None, i == 1) for i in range(400)], "graph_id string, id long, parent long, loop boolean")
+    assert rows(graph.climb(flags, ["graph_id"], ["loop"], 6).filter("loop").agg(F.max("id")))[0][0] == 64
+
+
+def test_search_on_chains(spark):
+    e = _edges(spark, [(str(i), str(i + 1)) for i in range(23)] + [("5", "2"), ("9", "9")])
+    for hops, want in ((None, 24), (7, 8), (8, 9), (0, 1)):
+        got = {r.id: r.depth for r in graph.bfs(e, _ids(spark, ["0"]), KEYS, hops).collect()}
+        assert got == {str(i): i for i in range(want)}
+    assert graph.bfs(e, _ids(spark, ["0"]).limit(0), KEYS).count() == 0
+
+
+def test_wide_spans_stay_small(spark):
+    spans = spark.createDataFrame([("f", "all", 1, 2**31 - 1), ("f", "some", 1000, 90000)], "file string, name string, start long, end long")
+    lines = spark.createDataFrame([("f", 5), ("f", 1500), ("f", 2**30)], "file string, line long")
+    got = joins.containing_or_nearest(lines, spans, ["file"])
+    assert {(r.line, r.name) for r in got.collect()} == {(5, "all"), (1500, "some"), (2**30, "all")}
+
+
+def test_first_identifier_in_breadth_first_order(spark):
+    """Under the first child the nearest identifier counts; of equally deep ones that whose ancestors come first."""
+    e = [("s", "l", 0), ("s", "z", 1), ("l", "c", 0), ("l", "d", 1), ("d", "first_row", 0), ("c", "wanted", 1), ("c", "k", 2), ("k", "deep", 0)]
+    ast = spark.createDataFrame([("g", *r) for r in e], "graph_id string, src string, dst string, child_pos long")
+    kinds = {"first_row": "IDENTIFIER", "wanted": "IDENTIFIER", "deep": "IDENTIFIER", "z": "IDENTIFIER"}
+    nodes = spark.createDataFrame([("g", i, kinds.get(i, "CALL"), i) for i in "s l z c d first_row wanted k deep".split()], "graph_id string, id string, _label string, name string")
+    got = program._first_identifiers(ast.filter("src = 's'"), nodes, ast, ["graph_id"]).collect()
+    assert [(r.id, r.assigned) for r in got] == [("s", ["wanted"])]
+
+
+NODE_HEAD = ":ID,:LABEL,NAME:string,FULL_NAME:string,FILENAME:string,LINE_NUMBER:int,LINE_NUMBER_END:int,CODE:string,METHOD_FULL_NAME:string,ARGUMENT_INDEX:int\n"
+
+
+def write_graph(folder, checked):
+    """parse() calls copy(); copy() calls memcpy on line 12, after a check where there is one."""
+    folder.mkdir(parents=True)
+    nodes = [
+        "m1,METHOD,parse,parse,a.c,1,6,,,", "b1,BLOCK,,,,2,,,,", "c1,CALL,copy,,,4,,copy(p),copy,", "a1,IDENTIFIER,p,,,4,,p,,1",
+        "m2,METHOD,copy,copy,a.c,10,20,,,", "b2,BLOCK,,,,10,,,,", "c2,CALL,memcpy,,,12,,,memcpy,", "a2,IDENTIFIER,q,,,12,,q,,1",
+        "m3,METHOD,unused,unused,b.c,1,3,,,",
+    ]
+    edges = [("m1", "b1"), ("b1", "c1"), ("c1", "a1"), ("m2", "b2"), ("b2", "c2"), ("c2", "a2")]
+    flows = [("m1", "c1", "CFG"), ("m2", "c2", "CFG"), ("c1", "m2", "CALL"), ("c1", "a1", "ARGUMENT")]
+    if checked:
+        nodes.append("r2,RETURN,,,,11,,return;,,")
+        edges.insert(5, ("b2", "r2"))
+        flows += [("m2", "r2", "CFG"), ("r2", "c2", "CFG")]
+    (folder / "nodes_ALL_header.csv").write_text(NODE_HEAD)
+    (folder / "nodes_ALL_data.csv").write_text("\n".join(nodes) + "\n")
+    (folder / "edges_ALL_header.csv").write_text(":START_ID,:END_ID,:TYPE\n")
+    (folder / "edges_ALL_data.csv").write_text("".join(f"{a},{b},AST\n" for a, b in edges) + "".join(f"{a},{b},{k}\n" for a, b, k in flows))
+    (folder / ".complete").write_text("")
+
+
+def test_whole_run(spark, tmp_path):
+    """Queue, diffs and graphs on disk to an emitted dataset, its checks, and a second run that has nothing left to do."""
+    write_graph(tmp_path / "graphs" / "old1", False)
+    write_graph(tmp_path / "graphs" / "new1", True)
+    (tmp_path / "diffs").mkdir()
+    (tmp_path / "diffs" / "p1.diff").write_text("--- a/a.c\n+++ b/a.c\n@@ -10,2 +10,3 @@\n void copy()\n+  if (!q) return;\n   memcpy(q);\n")
+    (tmp_path / "diffs" / "p3.diff").write_text("--- a/n.c\n+++ b/n.c\n@@ -1,1 +1,1 @@\n-x\n+y\n")
+    entry = '{"patch_id": "%s", "repo_url": "u", "commit_vuln": "%s", "commit_fix": "%s", "cwes": ["CWE-120"], "extra_sinks": [["a.c", 4]]}\n'
+    (tmp_path / "queue.jsonl").write_text(entry % ("p1", "old1", "new1") + entry % ("p2", "old1", "new1") + entry % ("p3", "old1", "new1"))
+    args = (spark, str(tmp_path / "queue.jsonl"), str(tmp_path / "diffs"), str(tmp_path / "graphs"), str(tmp_path / "out"))
+    row = build.run(*args, RunConfig(debug_samples=True)).first()
+    assert (row.processed, row.skipped, row.samples) == (1, 2, 2)
+    nodes = spark.read.json(str(tmp_path / "out" / "nodes")).collect()
+    fixed = {r.function + ":" + str(r.line): r for r in nodes if r.version == "fixed"}
+    assert set(fixed) == {"parse:1", "parse:4", "copy:10", "copy:11", "copy:12"}
+    assert fixed["copy:12"].sink_reason == "cwe_api:memcpy" and fixed["parse:4"].sink_reason == "user" and fixed["copy:11"].label == fixed["copy:12"].label == 1
+    assert fixed["parse:4"].role == "caller" and fixed["copy:11"].role == "patch" and fixed["copy:11"].distance_to_patch == 0 and fixed["copy:12"].distance_to_patch == 1
+    assert fixed["parse:4"].CALL_edges == [fixed["copy:10"].id] == fixed["parse:4"].PARAM_BIND_edges and fixed["parse:4"].is_cross_function
+    skipped = {(r.patch_id, r.version, r.stage) for r in spark.read.json(str(tmp_path / "out" / "skipped")).collect()}
+    assert skipped == {("p2", None, "clone/fetch"), ("p3", "vulnerable", "step1"), ("p3", "fixed", "step1")}
+    checks = {r.check: (r.value, r.is_red_flag) for r in build.check(spark, str(tmp_path / "out")).collect()}
+    assert checks["missing_files"] == (0, False) and checks["nodes"] == (len(nodes), False) and checks["unresolved"] == (0, False) and checks["missing_fields"] == (0, False)
+    assert not any(flag for _, flag in checks.values())
+    assert {r.sample for r in spark.read.json(str(tmp_path / "out" / "sample_counts")).collect()} == {"p1__vulnerable", "p1__fixed"}
+    again = build.run(*args).first()
+    assert (again.processed, again.skipped) == (0, 2) and spark.read.json(str(tmp_path / "out" / "nodes")).count() == len(nodes)
+    assert sorted(r.graph_id for r in files.complete_graphs(spark, str(tmp_path / "graphs")).collect()) == ["new1", "old1"]
+    files.drop_graph(spark, str(tmp_path / "graphs"), "new1")
+    assert [r.graph_id for r in files.complete_graphs(spark, str(tmp_path / "graphs")).collect()] == ["old1"]
+
+
+def test_code_from_source(spark):
+    nodes = spark.createDataFrame([("g", "m", "METHOD", "f", "m", 1), ("g", "b", "BLOCK", None, "m", 1), ("g", "r", "RETURN", None, "m", 3)], "graph_id string, id string, _label string, name string, owner string, lineNumber long")
+    for c in ("fullName", "filename", "code", "controlStructureType"):
+        nodes = nodes.withColumn(c, F.lit("a.c" if c == "filename" else None).cast("string"))
+    nodes = nodes.withColumn("columnNumber", F.lit(None).cast("bigint"))
+    edges = spark.createDataFrame([("g", "m", "b", "AST", 0), ("g", "b", "r", "AST", 0)], "graph_id string, src string, dst string, etype string, child_pos int")
+    source = files.source_lines(spark.createDataFrame([("g", "a.c", "int f() {\r\n  x();\n  return 1;\n}")], "graph_id string, file string, text string"), keys=("graph_id",))
+    stmts, _, _ = program.statement_graph(nodes, edges, lines=source)
+    assert {r.nid: r.code for r in stmts.collect()} == {"m": "int f() {", "r": "return 1;"}
+
+
+def test_catalogue_command(spark, tmp_path):
+    with sqlite3.connect(tmp_path / "c.db") as con:
+        con.execute("CREATE TABLE cve (cve_id TEXT)")
+        con.execute("CREATE TABLE fixes (cve_id TEXT, hash TEXT, repo_url TEXT)")
+        con.execute("CREATE TABLE commits (hash TEXT, parents TEXT, author_date TEXT)")
+        con.execute("CREATE TABLE repository (repo_url TEXT, repo_language TEXT)")
+        con.executemany("INSERT INTO fixes VALUES (?, ?, ?)", [("C1", "abcdef01", "https://github.com/a/b.git"), ("C2", "abcdef02", "https://github.com/evil/x"), ("C3", "abcdef03", "https://github.com/a/j"), ("C4", None, "u")])
+        con.executemany("INSERT INTO commits VALUES (?, ?, ?)", [(f"abcdef0{i}", "['1234567']", "2020-01-01") for i in (1, 2, 3)])
+        con.executemany("INSERT INTO repository VALUES (?, ?)", [("https://github.com/a/j", "Java"), ("https://github.com/a/b.git", None)])
+    argv = ["ingest", "--db", str(tmp_path / "c.db"), "--out", str(tmp_path / "q"), "--ban", "evil/x"]
+    assert command.main(argv) == 1  # a required table is missing
+    with sqlite3.connect(tmp_path / "c.db") as con:
+        con.execute("CREATE TABLE cwe_classification (cve_id TEXT, cwe_id TEXT)")
+        con.executemany("INSERT INTO cwe_classification VALUES (?, ?)", [(f"C{i}", "CWE-120") for i in (1, 2, 3)])
+    assert command.main(argv) == 0
+    assert [(r.patch_id, r.commit_vuln, r.cwes) for r in files.read_queue(spark, str(tmp_path / "q")).collect()] == [("b/C1", "1234567", ["CWE-120"])]
+    assert files.read_sqlite(spark, str(tmp_path / "c.db"), "commits", 2).count() == 3 and files.read_sqlite(spark, str(tmp_path / "c.db"), "cve").columns == ["cve_id"]
+
+
+def test_follow_queue(spark, tmp_path):
+    seen = []
+    (tmp_path / "in").mkdir()
+    line = '{"patch_id": "%s", "repo_url": "u", "commit_vuln": "a", "commit_fix": "b"}\n'
+    for name in ("p1", "p2"):
+        (tmp_path / "in" / f"{name}.json").write_text(line % name)
+        queue.follow_queue(spark, str(tmp_path / "in"), str(tmp_path / "state"), lambda df, n: seen.append(sorted(r.patch_id for r in df.collect()))).awaitTermination()
+    assert seen == [["p1"], ["p2"]]
