@@ -20,8 +20,8 @@ independent 64-bit functions of their bytes, windows by one hash over each of th
    windows of first chunks are compared one by one. Only earlier starts count.
 3. covered tokens go back to their documents.
 
-Within a batch each anchor, chunk and window is sent once, so a passage that a third of all documents
-share costs a row for each batch, not for each document.
+Documents travel in compressed batches. Within a batch each anchor, chunk and window is sent once, so a
+passage that a third of all documents share costs a row for each batch, not for each document.
 """
 
 from __future__ import annotations
@@ -33,11 +33,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
-from sliceforge.llm.textkit import U, Words, column, mix, portions, prefix_sums, rows, span_hash, utf8
+from sliceforge.llm.textkit import U, Words, column, give_back, mix, portions, prefix_sums, rows, span_hash, utf8
 from sliceforge.runtime import ship, table
 
 ROUNDS = 2
@@ -45,7 +45,7 @@ ROUNDS = 2
 REACH = (8, 3, 1)
 FAR = 1 << 40
 NONE = U(0xFFFFFFFFFFFFFFFF)
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 4 << 20
 
 
 class Symbols:
@@ -181,10 +181,10 @@ class Batch:
         self.places = anchors(self.h, self.text, self.starts, window) if len(self.starts) else []
 
     def led_by(self, chosen) -> np.ndarray:
-        """Indices of the windows led by places for which chosen(key, text) holds."""
+        """Indices of the windows led by places for which chosen(key) holds."""
         mark = np.zeros(len(self.h) + 1, bool)
         for p in self.places:
-            mark[p.led(chosen(p.key, p.text))] = True
+            mark[p.led(chosen(p.key))] = True
         return np.flatnonzero(mark[self.starts])
 
     def hashes(self) -> tuple[np.ndarray, np.ndarray]:
@@ -195,73 +195,85 @@ class Batch:
         return mix(span_hash(a, s, e)), mix(span_hash(b, s, e))
 
 
-def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    for b, texts in portions(batches, BATCH_BYTES):
-        yield b, utf8(texts)
+def packs(docs: DataFrame) -> DataFrame:
+    """docs (doc_id, text, ...) -> (batch, payload): rows in batches of about BATCH_BYTES, all columns kept, compressed, dealt by batch.
+
+    Every later step reads this one exchange, so a batch has the same number and the same rows in all of them.
+    """
+    ship(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
+        for b, _ in portions(batches, BATCH_BYTES):
+            if len(b):
+                yield rows(batch=pa.array([number], pa.int64()), payload=pa.array([_sealed(b)], pa.binary()))
+                number += 1
+
+    return docs.mapInArrow(run, "batch long, payload binary").repartition("batch")
 
 
-def _ids(b: pa.RecordBatch) -> np.ndarray:
-    """doc_ids of rows that all have one."""
-    return column(b, "doc_id").to_numpy()
+def _sealed(b: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, b.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(b)
+    return sink.getvalue().to_pybytes()
 
 
-def shared_anchors(docs: DataFrame, window: int) -> DataFrame:
-    """(doc_id, text) -> (doc_id, anchors array<long>): the anchors of each document that occur elsewhere too."""
+def _unsealed(batches: Iterator[pa.RecordBatch], *others: str) -> Iterator[tuple]:
+    """(batch, its rows, the values of other columns) of each packed batch."""
+    for packed in batches:
+        for i in range(len(packed)):
+            held = pa.ipc.open_stream(column(packed, "payload")[i].as_buffer()).read_next_batch()
+            yield column(packed, "batch")[i].as_py(), held, *[column(packed, c)[i] for c in others]
+    give_back()
+
+
+def _judged(held: pa.RecordBatch) -> tuple[np.ndarray, list[bytes]]:
+    """doc_ids and texts; a row without a doc_id takes no part, so its text counts as empty here."""
+    ids = column(held, "doc_id")
+    texts = utf8(column(held, "text").to_pylist())
+    return pc.fill_null(ids, 0).to_numpy(), [t if ok else b"" for t, ok in zip(texts, ids.is_valid().to_pylist(), strict=True)]
+
+
+def shared_anchors(packed: DataFrame, window: int) -> DataFrame:
+    """packs() -> (batch, anchors array<long>): the anchors of each batch that occur elsewhere too, or more than once in it.
+
+    An anchor costs a batch one row of three numbers, however many of its documents hold it.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for held, texts in _batches(batches):
-            b = Batch(texts, window)
-            if not b.places:
-                continue
-            names, owner = np.concatenate([p.key for p in b.places]), np.concatenate([p.text for p in b.places])
-            # by name, then by document; of a document that has a name several times one mention stays
-            ids = _ids(held)[owner]
-            order = np.lexsort((ids, names))
-            names, ids = names[order], ids[order]
-            new = np.concatenate(([True], names[1:] != names[:-1]))
-            once = new | np.concatenate(([True], ids[1:] != ids[:-1]))
-            cut = np.flatnonzero(new)
-            times = np.diff(np.append(cut, len(names)))
-            begin = np.concatenate((np.cumsum(once)[cut] - 1, [once.sum()]))
-            lists = pa.ListArray.from_arrays(pa.array(begin.astype(np.int32)), pa.array(ids[once]))
-            yield rows(anchor=names[cut].view(np.int64), docs=lists, n=np.minimum(times, 2).astype(np.int32))
-
-    seen = docs.filter("doc_id IS NOT NULL").mapInArrow(run, "anchor long, docs array<long>, n int")
-    again = (
-        seen.withColumn("total", F.sum("n").over(Window.partitionBy("anchor")))
-        .filter("total > 1")
-        .select(F.explode("docs").alias("doc_id"), "anchor")
-    )
-    return again.groupBy("doc_id").agg(F.collect_set("anchor").alias("anchors"))
+        for number, held in _unsealed(batches):
+            b = Batch(_judged(held)[1], window)
+            if b.places:
+                names, times = np.unique(np.concatenate([p.key for p in b.places]), return_counts=True)
+                yield rows(anchor=names.view(np.int64), batch=np.full(len(names), number), n=np.minimum(times, 2).astype(np.int32))
+
+    seen = packed.mapInArrow(run, "anchor long, batch long, n int")
+    again = seen.withColumn("total", F.sum("n").over(Window.partitionBy("anchor"))).filter("total > 1")
+    return again.groupBy("batch").agg(F.collect_list("anchor").alias("anchors"))  # as many as a batch has
 
 
 #: A window in a chunk: 96 bits of its hash, and its place in the chunk.
 _BODY = np.dtype([("a", "<u8"), ("b", "<u4"), ("at", "<u2")])
-_PIECES = "kind int, key1 long, key2 long, doc_id long, pos int, n int, body binary"
-
-
-def _at_home(key: np.ndarray, text: np.ndarray) -> np.ndarray:
-    """A key together with the text it stands in."""
-    return mix(key ^ (text.astype(U) * U(0xD6E8FEB86659FD93)))
+_PIECES = "kind int, key1 long, key2 long, doc_id long, pos int, n int, batch long, at int, body binary"
 
 
 def _windows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
     """Windows under shared anchors, in chunks; kind 0: already known to be repeats, 1: chunks."""
-    for held, texts in _batches(batches):
+    for number, held, anchors_ in _unsealed(batches, "anchors"):
+        doc_ids, texts = _judged(held)
         b = Batch(texts, window)
         if not b.places:
             continue
-        ids, mine = _ids(held), column(held, "anchors")
-        doc = np.repeat(np.arange(len(mine)), pc.list_value_length(mine).to_numpy())
-        wanted = np.unique(_at_home(mine.flatten().to_numpy().view(U), doc))
+        wanted = np.unique(anchors_.values.to_numpy().view(U))
 
-        def shared(key: np.ndarray, text: np.ndarray, wanted=wanted) -> np.ndarray:
-            own = _at_home(key, text)
-            return wanted[np.minimum(np.searchsorted(wanted, own), len(wanted) - 1)] == own
+        def shared(key: np.ndarray, wanted=wanted) -> np.ndarray:
+            return wanted[np.minimum(np.searchsorted(wanted, key), len(wanted) - 1)] == key
 
         pick = b.led_by(shared)
         if not len(pick):
             continue
+        ids = doc_ids
         h1, h2 = b.hashes()
         h1, h2, owner, pos = h1[pick], h2[pick], b.owner[pick], b.pos[pick]
         # the earliest of equal windows in this batch; rows of one doc_id tie at equal starts
@@ -281,7 +293,7 @@ def _windows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Reco
         size = np.diff(np.append(at, len(pick)))
         fresh = ~known
         left = np.add.reduceat(fresh.astype(np.int64), at)
-        yield _known_ranges(ids[owner], pos, known)
+        yield _known_ranges(number, ids, owner, pos, known)
         live = np.flatnonzero(left > 0)
         packed = np.empty(len(pick), _BODY)
         packed["a"], packed["b"], packed["at"] = h1, h2 >> U(32), pos - np.repeat(pos[at], size)
@@ -292,96 +304,101 @@ def _windows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Reco
             bodies.append(packed[part][fresh[part]].tobytes())
             keys[k] = np.frombuffer(xxhash.xxh3_128_digest(both[part].tobytes()), U)
         yield pa.RecordBatch.from_pydict(
-            {"kind": np.ones(len(live), np.int32), "key1": keys[:, 0].view(np.int64), "key2": keys[:, 1].view(np.int64), "doc_id": ids[owner[at[live]]], "pos": pos[at[live]].astype(np.int32), "n": size[live].astype(np.int32), "body": pa.array(bodies, pa.binary())}
+            {"kind": np.ones(len(live), np.int32), "key1": keys[:, 0].view(np.int64), "key2": keys[:, 1].view(np.int64), "doc_id": ids[owner[at[live]]], "pos": pos[at[live]].astype(np.int32), "n": size[live].astype(np.int32), "batch": np.full(len(live), number), "at": owner[at[live]].astype(np.int32), "body": pa.array(bodies, pa.binary())}
         )
 
 
-def _known_ranges(ids: np.ndarray, pos: np.ndarray, known: np.ndarray) -> pa.RecordBatch:
+def _known_ranges(number: int, doc_ids: np.ndarray, owner: np.ndarray, pos: np.ndarray, known: np.ndarray) -> pa.RecordBatch:
     at = np.flatnonzero(known)
-    ids, pos = ids[at], pos[at]
-    new = np.concatenate(([True], (ids[1:] != ids[:-1]) | (pos[1:] != pos[:-1] + 1)))[: len(at)]
+    owner, pos = owner[at], pos[at]
+    new = np.concatenate(([True], (owner[1:] != owner[:-1]) | (pos[1:] != pos[:-1] + 1)))[: len(at)]
     first = np.flatnonzero(new)
-    n = np.diff(np.append(first, len(at)))
+    n = np.diff(np.append(first, len(at))).astype(np.int32)
+    owner, pos = owner[first], pos[first]
+    batch = np.full(len(first), number)
     return pa.RecordBatch.from_pydict(
-        {"kind": np.zeros(len(first), np.int32), "key1": ids[first], "key2": pos[first].astype(np.int64), "doc_id": ids[first], "pos": pos[first].astype(np.int32), "n": n.astype(np.int32), "body": pa.nulls(len(first), pa.binary())}
+        {"kind": np.zeros(len(first), np.int32), "key1": batch, "key2": np.arange(len(first)), "doc_id": doc_ids[owner], "pos": pos.astype(np.int32), "n": n, "batch": batch, "at": owner.astype(np.int32), "body": pa.nulls(len(first), pa.binary())}
     )
 
 
+_RANGES = "kind int, key1 long, key2 long, doc_id long, pos int, n int, batch long, at int"
+
+
 def _open(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """After chunks are ranked: known ranges and later chunks pass as ranges, first chunks as windows (kind 2)."""
-    names = ["kind", "key1", "key2", "doc_id", "pos", "n"]
     for b in batches:
         first = (column(b, "kind").to_numpy() == 1) & (column(b, "rn").to_numpy() == 1)
         done = b.filter(pa.array(~first))
-        ids, pos = column(done, "doc_id"), column(done, "pos")
-        yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(done), np.int32)), ids, pos.cast(pa.int64()), ids, pos, column(done, "n")], names=names)
+        yield rows(kind=np.zeros(len(done), np.int32), **{c: column(done, c) for c in ("key1", "key2", "doc_id", "pos", "n", "batch", "at")})
         opened = b.filter(pa.array(first))
         if len(opened):
             bodies = column(opened, "body").to_pylist()
             lens = np.fromiter(map(len, bodies), np.int64) // _BODY.itemsize
             every = np.frombuffer(b"".join(bodies), _BODY)
-            ids, pos = column(opened, "doc_id").to_numpy(), column(opened, "pos").to_numpy()
-            yield pa.RecordBatch.from_pydict(
-                {"kind": np.full(len(every), 2, np.int32), "key1": np.ascontiguousarray(every["a"]).view(np.int64), "key2": every["b"].astype(np.int64), "doc_id": np.repeat(ids, lens), "pos": (np.repeat(pos, lens) + every["at"]).astype(np.int32), "n": np.ones(len(every), np.int32)}
+            spread = lambda c: np.repeat(column(opened, c).to_numpy(), lens)  # noqa: B023, E731
+            yield rows(
+                kind=np.full(len(every), 2, np.int32),
+                key1=np.ascontiguousarray(every["a"]).view(np.int64),
+                key2=every["b"].astype(np.int64),
+                doc_id=spread("doc_id"),
+                pos=(spread("pos") + every["at"]).astype(np.int32),
+                n=np.ones(len(every), np.int32),
+                batch=spread("batch"),
+                at=spread("at"),
             )
 
 
-def plain(docs: DataFrame) -> DataFrame:
-    """(doc_id long, text). A cast where none is needed would keep Spark from sharing the exchange of texts."""
-    if dict(docs.dtypes)["doc_id"] == "bigint":
-        return docs.select("doc_id", "text")
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-
-
-def repeats(docs: DataFrame, window: int = 20) -> DataFrame:
-    """(doc_id long, text) -> (doc_id, spans array<struct<pos, n>>): starts of windows that also start earlier.
+def repeats(packed: DataFrame, window: int = 20) -> DataFrame:
+    """packs() -> (batch, spans array<struct<at, pos, n>>): starts of windows that also start earlier.
 
-    A span holds n consecutive window starts from pos on; spans may overlap. Documents without
-    any are absent. Rows without a doc_id take no part.
+    A span holds n consecutive window starts from pos on in row `at` of the batch; spans may overlap. Batches
+    without any are absent. Rows without a doc_id take no part.
     """
-    ship(docs.sparkSession)
-    keyed = docs.filter("doc_id IS NOT NULL").select("doc_id", "text")
-    texts = keyed.repartition("doc_id")
-    shared = shared_anchors(keyed, window)
-    met = texts.join(shared, "doc_id").mapInArrow(lambda it: _windows(it, window), _PIECES)
+    met = packed.join(shared_anchors(packed, window), "batch").mapInArrow(lambda it: _windows(it, window), _PIECES)
     by_chunk = Window.partitionBy("kind", "key1", "key2").orderBy("doc_id", "pos")
     # equal places tie: two rows of one document are not earlier than each other
     ranked = met.withColumn("rn", F.rank().over(by_chunk))
-    opened = ranked.mapInArrow(_open, "kind int, key1 long, key2 long, doc_id long, pos int, n int")
-    found = (
-        opened.withColumn("rn", F.rank().over(by_chunk))
-        .filter("kind = 0 OR rn > 1")
-        .groupBy("doc_id")
-        .agg(F.collect_list(F.struct("pos", "n")).alias("spans"))
-    )
-    return found
+    opened = ranked.mapInArrow(_open, _RANGES)
+    found = opened.withColumn("rn", F.rank().over(by_chunk)).filter("kind = 0 OR rn > 1")
+    return found.groupBy("batch").agg(F.collect_list(F.struct("at", "pos", "n")).alias("spans"))  # as many as a batch has windows
 
 
-def _covered(n_words: int, spans, window: int) -> np.ndarray:
-    """Which words lie in a repeated window."""
+def _covered(n_words: int, spans: np.ndarray, window: int) -> np.ndarray:
+    """Which words lie in a repeated window; spans are rows of (pos, n)."""
     mark = np.zeros(n_words + 1, np.int64)
-    if spans is not None:
-        for s in spans:
-            mark[s["pos"]] += 1
-            mark[min(n_words, s["pos"] + s["n"] + window - 1)] -= 1
+    np.add.at(mark, spans[:, 0], 1)
+    np.add.at(mark, np.minimum(n_words, spans[:, 0] + spans[:, 1] + window - 1), -1)
     return np.cumsum(mark[:-1]) > 0
 
 
+def _strip(text: bytes, spans: np.ndarray | None, window: int) -> tuple[int, int, bytes]:
+    words = text.split()
+    if spans is None:
+        return len(words), 0, b" ".join(words)
+    gone = _covered(len(words), spans, window)
+    return len(words), int(gone.sum()), b" ".join([w for w, g in zip(words, gone.tolist(), strict=True) if not g])
+
+
+def _stripped(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[tuple[pa.RecordBatch, list[tuple[bytes, np.ndarray | None]]]]:
+    """Rows of each batch with the UTF-8 text and the spans (or None) of each row."""
+    for _, held, spans in _unsealed(batches, "spans"):
+        of: dict[int, np.ndarray] = {}
+        if spans.is_valid:
+            at, pos, n = (spans.values.field(c).to_numpy().astype(np.int64) for c in ("at", "pos", "n"))
+            order = np.argsort(at, kind="stable")
+            at, both = at[order], np.stack((pos, n), axis=1)[order]
+            cut = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
+            of = dict(zip(at[cut].tolist(), np.split(both, cut[1:]), strict=True))
+        yield held, [(t, of.get(i)) for i, t in enumerate(utf8(column(held, "text").to_pylist()))]
+
+
 def _with_spans(docs: DataFrame, window: int) -> DataFrame:
-    """All rows of docs with their spans; the texts share one exchange with repeats()."""
-    keyed = docs.filter("doc_id IS NOT NULL").select("doc_id", "text").repartition("doc_id")
-    return keyed.join(repeats(docs, window), "doc_id", "left").unionByName(
-        docs.filter("doc_id IS NULL").select("doc_id", "text").withColumn("spans", F.lit(None).cast("array<struct<pos:int,n:int>>"))
-    )
+    packed = packs(docs)
+    return packed.join(repeats(packed, window), "batch", "left").select("batch", "payload", "spans")
 
 
-def _strip(text: bytes, spans, window: int) -> tuple[int, int, bytes]:
-    words = text.split()
-    gone = _covered(len(words), spans, window)
-    removed = int(gone.sum())
-    if removed:
-        words = [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
-    return len(gone), removed, b" ".join(words)
+def plain(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
 
 def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
@@ -390,52 +407,38 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
     A word goes if a window of `window` words that covers it has the same words as a window with an
     earlier start (smaller doc_id, or earlier in the same document). Null texts have no words; texts
     shorter than a window stay whole. Rows with a null doc_id are not compared and stay whole. Rows
-    that repeat a doc_id are both judged against smaller ids, and by earlier starts under their own id.
+    that repeat a doc_id are both judged against smaller ids, and by earlier starts under their own id: of two such rows neither is earlier at equal starts.
     An empty table gives an empty result. Other columns are ignored, whatever their names.
     """
-    ship(docs.sparkSession)
+    return _counted(docs, window, "kept", lambda kept: kept.decode("utf-8", "surrogatepass"))
+
 
+def _counted(docs: DataFrame, window: int, name: str, shown) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b, texts in portions(batches):
-            got = [_strip(t, s, window) for t, s in zip(utf8(texts), column(b, "spans").to_pylist(), strict=True)]
-            yield rows(
-                doc_id=column(b, "doc_id"), n_words=pa.array([g[0] for g in got], pa.int64()), n_removed=pa.array([g[1] for g in got], pa.int64()), kept=pa.array([g[2].decode("utf-8", "surrogatepass") for g in got], pa.string())
-            )
+        for held, texts in _stripped(batches, window):
+            got = [_strip(t, s, window) for t, s in texts]
+            counts = {c: pa.array([g[i] for g in got], pa.int64()) for i, c in enumerate(("n_words", "n_removed"))}
+            yield rows(doc_id=column(held, "doc_id"), **counts, **{name: pa.array([shown(g[2]) for g in got], pa.string())})
 
-    return _with_spans(plain(docs), window).mapInArrow(run, "doc_id long, n_words long, n_removed long, kept string")
+    return _with_spans(plain(docs), window).mapInArrow(run, f"doc_id long, n_words long, n_removed long, {name} string")
 
 
 def op7(spark, sf_dir: str) -> DataFrame:
-    docs = plain(table(spark, sf_dir, "documents"))
-    ship(spark)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b, texts in portions(batches):
-            got = [_strip(t, s, 20) for t, s in zip(utf8(texts), column(b, "spans").to_pylist(), strict=True)]
-            yield rows(
-                doc_id=column(b, "doc_id"), n_words=pa.array([g[0] for g in got], pa.int64()), n_removed=pa.array([g[1] for g in got], pa.int64()), kept_sha256=pa.array([hashlib.sha256(g[2]).hexdigest() for g in got], pa.string())
-            )
-
-    return _with_spans(docs, 20).mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    return _counted(table(spark, sf_dir, "documents"), 20, "kept_sha256", lambda kept: hashlib.sha256(kept).hexdigest())
 
 
 def strip_stage(docs: DataFrame, window: int = 20) -> DataFrame:
-    """The pipeline stage: documents with repeats taken out of their texts; texts without any stay as they are."""
+    """The pipeline stage: documents with repeats taken out of their texts; texts without any stay as they are.
+
+    Whole rows travel in the batches, so other columns keep their exact values, whatever their names.
+    """
     named = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
-    extra = [c for c in named.columns if c not in ("doc_id", "text")]
-    carried = F.struct(*extra) if extra else F.struct(F.lit(0).alias("none"))
-    found = repeats(named.select("doc_id", "text"), window)
-    joined = named.select("doc_id", "text", carried.alias("carried")).join(found, "doc_id", "left")
 
-    # Arrow batches keep the carried columns as they are, whole numbers beside nulls included
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b, texts in portions(batches):
-            text = b.schema.get_field_index("text")
-            out = []
-            for t, s in zip(texts, column(b, "spans").to_pylist(), strict=True):
-                out.append(t if s is None else _strip(t.encode("utf-8", "surrogatepass"), s, window)[2].decode("utf-8", "surrogatepass"))
-            field = b.schema.field(text)
-            yield b.set_column(text, field, pa.array(out, field.type)).select(["doc_id", "text", "carried"])
-
-    done = joined.mapInArrow(run, StructType([joined.schema[c] for c in ("doc_id", "text", "carried")]))
-    return done.select(*[F.col(c) if c in ("doc_id", "text") else F.col(f"carried.`{c}`").alias(c) for c in docs.columns])
+        for held, texts in _stripped(batches, window):
+            at = held.schema.get_field_index("text")
+            whole = column(held, "text").to_pylist()
+            out = [w if s is None else _strip(t, s, window)[2].decode("utf-8", "surrogatepass") for w, (t, s) in zip(whole, texts, strict=True)]
+            yield held.set_column(at, held.schema.field(at), pa.array(out, held.schema.field(at).type))
+
+    return _with_spans(named, window).mapInArrow(run, named.schema)
