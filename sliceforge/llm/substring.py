@@ -45,7 +45,10 @@ ROUNDS = 2
 REACH = (8, 3, 1)
 FAR = 1 << 40
 NONE = U(0xFFFFFFFFFFFFFFFF)
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
+#: Of the 31 bits of a batch's number: those that count within a partition (4 GB of text); the others number a million partitions.
+BATCH_BITS = 11
+_LOW = (1 << 32) - 1
 
 
 class Symbols:
@@ -203,11 +206,13 @@ def packs(docs: DataFrame) -> DataFrame:
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 32
+        number = TaskContext.get().partitionId() << BATCH_BITS
         for b, _ in portions(batches, BATCH_BYTES):
             if len(b):
                 yield rows(batch=pa.array([number], pa.int64()), payload=pa.array([_sealed(b)], pa.binary()))
                 number += 1
+        if number - (TaskContext.get().partitionId() << BATCH_BITS) > 1 << BATCH_BITS:
+            raise ValueError("a partition holds too many batches to number; read it in smaller splits")
 
     return docs.mapInArrow(run, "batch long, payload binary").repartition("batch")
 
@@ -255,11 +260,12 @@ def shared_anchors(packed: DataFrame, window: int) -> DataFrame:
 
 #: A window in a chunk: 96 bits of its hash, and its place in the chunk.
 _BODY = np.dtype([("a", "<u8"), ("b", "<u4"), ("at", "<u2")])
-_PIECES = "kind int, key1 long, key2 long, doc_id long, pos int, n int, batch long, at int, body binary"
+#: place: start and number of windows; home: batch and row. Two numbers each, in one long, so that rows are short.
+_PIECES = "key1 long, key2 long, doc_id long, place long, home long, body binary"
 
 
 def _windows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    """Windows under shared anchors, in chunks; kind 0: already known to be repeats, 1: chunks."""
+    """Windows under shared anchors: chunks, and (without a body) ranges already known to be repeats."""
     for number, held, anchors_ in _unsealed(batches, "anchors"):
         doc_ids, texts = _judged(held)
         b = Batch(texts, window)
@@ -303,9 +309,11 @@ def _windows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Reco
             part = slice(at[i], at[i] + size[i])
             bodies.append(packed[part][fresh[part]].tobytes())
             keys[k] = np.frombuffer(xxhash.xxh3_128_digest(both[part].tobytes()), U)
-        yield pa.RecordBatch.from_pydict(
-            {"kind": np.ones(len(live), np.int32), "key1": keys[:, 0].view(np.int64), "key2": keys[:, 1].view(np.int64), "doc_id": ids[owner[at[live]]], "pos": pos[at[live]].astype(np.int32), "n": size[live].astype(np.int32), "batch": np.full(len(live), number), "at": owner[at[live]].astype(np.int32), "body": pa.array(bodies, pa.binary())}
-        )
+        yield _pieces(keys[:, 0].view(np.int64), keys[:, 1].view(np.int64), ids[owner[at[live]]], pos[at[live]], size[live], number, owner[at[live]], pa.array(bodies, pa.binary()))
+
+
+def _pieces(key1, key2, doc_id, pos, n, number: int, at, body: pa.Array) -> pa.RecordBatch:
+    return rows(key1=key1, key2=key2, doc_id=doc_id, place=(pos.astype(np.int64) << 32) | n, home=(number << 32) | at.astype(np.int64), body=body)
 
 
 def _known_ranges(number: int, doc_ids: np.ndarray, owner: np.ndarray, pos: np.ndarray, known: np.ndarray) -> pa.RecordBatch:
@@ -313,54 +321,40 @@ def _known_ranges(number: int, doc_ids: np.ndarray, owner: np.ndarray, pos: np.n
     owner, pos = owner[at], pos[at]
     new = np.concatenate(([True], (owner[1:] != owner[:-1]) | (pos[1:] != pos[:-1] + 1)))[: len(at)]
     first = np.flatnonzero(new)
-    n = np.diff(np.append(first, len(at))).astype(np.int32)
+    n = np.diff(np.append(first, len(at)))
     owner, pos = owner[first], pos[first]
-    batch = np.full(len(first), number)
-    return pa.RecordBatch.from_pydict(
-        {"kind": np.zeros(len(first), np.int32), "key1": batch, "key2": np.arange(len(first)), "doc_id": doc_ids[owner], "pos": pos.astype(np.int32), "n": n, "batch": batch, "at": owner.astype(np.int32), "body": pa.nulls(len(first), pa.binary())}
-    )
-
-
-_RANGES = "kind int, key1 long, key2 long, doc_id long, pos int, n int, batch long, at int"
+    return _pieces((number << 32) | np.arange(len(first)), np.full(len(first), -1), doc_ids[owner], pos, n, number, owner, pa.nulls(len(first), pa.binary()))
 
 
 def _open(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """After chunks are ranked: known ranges and later chunks pass as ranges, first chunks as windows (kind 2)."""
+    """After chunks are ranked: known ranges and later chunks pass as ranges (key2 -1), first chunks as windows (key2 from 0)."""
     for b in batches:
-        first = (column(b, "kind").to_numpy() == 1) & (column(b, "rn").to_numpy() == 1)
+        first = (column(b, "rn").to_numpy() == 1) & column(b, "body").is_valid().to_numpy(zero_copy_only=False)
         done = b.filter(pa.array(~first))
-        yield rows(kind=np.zeros(len(done), np.int32), **{c: column(done, c) for c in ("key1", "key2", "doc_id", "pos", "n", "batch", "at")})
+        yield rows(key1=column(done, "home"), key2=np.full(len(done), -1), **{c: column(done, c) for c in ("doc_id", "place", "home")})
         opened = b.filter(pa.array(first))
         if len(opened):
             bodies = column(opened, "body").to_pylist()
             lens = np.fromiter(map(len, bodies), np.int64) // _BODY.itemsize
             every = np.frombuffer(b"".join(bodies), _BODY)
-            spread = lambda c: np.repeat(column(opened, c).to_numpy(), lens)  # noqa: B023, E731
-            yield rows(
-                kind=np.full(len(every), 2, np.int32),
-                key1=np.ascontiguousarray(every["a"]).view(np.int64),
-                key2=every["b"].astype(np.int64),
-                doc_id=spread("doc_id"),
-                pos=(spread("pos") + every["at"]).astype(np.int32),
-                n=np.ones(len(every), np.int32),
-                batch=spread("batch"),
-                at=spread("at"),
-            )
+            doc_id, place, home = (np.repeat(column(opened, c).to_numpy(), lens) for c in ("doc_id", "place", "home"))
+            pos = (place >> 32) + every["at"]
+            yield rows(key1=np.ascontiguousarray(every["a"]).view(np.int64), key2=every["b"].astype(np.int64), doc_id=doc_id, place=(pos << 32) | 1, home=home)
 
 
 def repeats(packed: DataFrame, window: int = 20) -> DataFrame:
-    """packs() -> (batch, spans array<struct<at, pos, n>>): starts of windows that also start earlier.
+    """packs() -> (batch, spans array<struct<home, place>>): starts of windows that also start earlier.
 
-    A span holds n consecutive window starts from pos on in row `at` of the batch; spans may overlap. Batches
+    A span's home names a row of the batch, its place the first of some consecutive window starts and their number; spans may overlap. Batches
     without any are absent. Rows without a doc_id take no part.
     """
     met = packed.join(shared_anchors(packed, window), "batch").mapInArrow(lambda it: _windows(it, window), _PIECES)
-    by_chunk = Window.partitionBy("kind", "key1", "key2").orderBy("doc_id", "pos")
+    by_key = Window.partitionBy("key1", "key2").orderBy("doc_id", F.shiftright("place", 32))
     # equal places tie: two rows of one document are not earlier than each other
-    ranked = met.withColumn("rn", F.rank().over(by_chunk))
-    opened = ranked.mapInArrow(_open, _RANGES)
-    found = opened.withColumn("rn", F.rank().over(by_chunk)).filter("kind = 0 OR rn > 1")
-    return found.groupBy("batch").agg(F.collect_list(F.struct("at", "pos", "n")).alias("spans"))  # as many as a batch has windows
+    ranked = met.withColumn("rn", F.rank().over(by_key))
+    opened = ranked.mapInArrow(_open, "key1 long, key2 long, doc_id long, place long, home long")
+    found = opened.withColumn("rn", F.rank().over(by_key)).filter("key2 < 0 OR rn > 1")
+    return found.groupBy(F.shiftright("home", 32).alias("batch")).agg(F.collect_list(F.struct("home", "place")).alias("spans"))  # as many as a batch has windows
 
 
 def _covered(n_words: int, spans: np.ndarray, window: int) -> np.ndarray:
@@ -384,9 +378,9 @@ def _stripped(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[tuple[
     for _, held, spans in _unsealed(batches, "spans"):
         of: dict[int, np.ndarray] = {}
         if spans.is_valid:
-            at, pos, n = (spans.values.field(c).to_numpy().astype(np.int64) for c in ("at", "pos", "n"))
+            at, place = spans.values.field("home").to_numpy() & _LOW, spans.values.field("place").to_numpy()
             order = np.argsort(at, kind="stable")
-            at, both = at[order], np.stack((pos, n), axis=1)[order]
+            at, both = at[order], np.stack((place >> 32, place & _LOW), axis=1)[order]
             cut = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
             of = dict(zip(at[cut].tolist(), np.split(both, cut[1:]), strict=True))
         yield held, [(t, of.get(i)) for i, t in enumerate(utf8(column(held, "text").to_pylist()))]
