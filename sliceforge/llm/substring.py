@@ -214,7 +214,8 @@ def packs(docs: DataFrame) -> DataFrame:
         if number - (TaskContext.get().partitionId() << BATCH_BITS) > 1 << BATCH_BITS:
             raise ValueError("a partition holds too many batches to number; read it in smaller splits")
 
-    return docs.mapInArrow(run, "batch long, payload binary").repartition("batch")
+    # the filter that a join would add is there for all readers, so that they share the exchange
+    return docs.mapInArrow(run, "batch long, payload binary").filter("batch IS NOT NULL").repartition("batch")
 
 
 def _sealed(b: pa.RecordBatch) -> bytes:
