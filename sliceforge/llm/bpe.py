@@ -245,16 +245,15 @@ def _text_table(path: str, pattern: str) -> tuple[Codec, ChunkTable]:
     return c, _tables[key]
 
 
-_digest_tables: dict[tuple[str, str], tuple] = {}
+_digest_tables: dict[tuple[str, str], ChunkTable] = {}
 
 
-def _digest_table(path: str, pattern: str) -> tuple[Codec, ChunkTable, dict[str, bytes]]:
-    """A worker's table of chunks as written ids, and the bytes of each written id."""
+def _digest_table(path: str, pattern: str) -> ChunkTable:
+    """A worker's table of chunks: number of ids, the ids as written, and the bytes that the ids decode to."""
     key = (path, pattern)
     if key not in _digest_tables:
         c = codec(path, pattern)
-        chunks = ChunkTable(c.split, c.known, lambda ids: (len(ids), " ".join(map(str, ids))))
-        _digest_tables[key] = c, chunks, {str(i): t for i, t in c.bytes_of.items()}
+        _digest_tables[key] = ChunkTable(c.split, c.known, lambda ids: (len(ids), " ".join(map(str, ids)), c.decode(ids)))
     return _digest_tables[key]
 
 
@@ -306,14 +305,14 @@ def digests(docs: DataFrame, path: str, pattern: str = public_tokenizers.PATTERN
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c, chunks, names = _digest_table(path, pattern)
+        chunks = _digest_table(path, pattern)
         for b, texts in portions(batches, 1 << 20):
             n, ids, back = [], [], []
             for parts in chunks([t or "" for t in texts]):
-                written = " ".join([p[1] for p in parts if p[0]])
-                n.append(sum([p[0] for p in parts]))
-                ids.append(hashlib.sha256(written.encode()).hexdigest())
-                back.append(hashlib.sha256(b"".join(map(names.__getitem__, written.split(" "))) if written else b"").hexdigest())
+                counts, written, decoded = zip(*parts, strict=True) if parts else ((), (), ())
+                n.append(sum(counts))
+                ids.append(hashlib.sha256(" ".join(written if all(counts) else filter(None, written)).encode()).hexdigest())
+                back.append(hashlib.sha256(b"".join(decoded)).hexdigest())
             yield rows(doc_id=column(b, "doc_id"), n_tokens=pa.array(n, pa.int64()), ids_sha256=pa.array(ids, pa.string()), decoded_sha256=pa.array(back, pa.string()))
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
