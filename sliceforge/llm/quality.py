@@ -31,6 +31,8 @@ SYMBOLS = 256
 KEEP = 0.995
 #: Bytes of text in a batch (one longer text stands alone).
 BATCH = 12 << 20
+#: The most bytes of trusted ids that are broadcast.
+BROADCAST_BYTES = 16 << 20
 
 
 def _folding() -> np.ndarray:
@@ -228,8 +230,12 @@ def classify(docs: DataFrame, labels: DataFrame, keep: float = KEEP) -> DataFram
     """
     good = labels.filter("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text")
-    # Spark broadcasts the ids where its own size check allows
-    scored = materialize(score(own, model(own.join(good.filter(_counted()), "doc_id", "left_semi"))), "scored")
+    good = materialize(good, "good")
+    counted = good.filter(_counted())
+    # ids of a checked size are broadcast, so that texts stay where they are; more of them meet the texts by a shuffle
+    if good.count() * 8 <= BROADCAST_BYTES:
+        counted = F.broadcast(counted)
+    scored = materialize(score(own, model(own.join(counted, "doc_id", "left_semi"))), "scored")
     held = scored.join(good.filter(~_counted()), "doc_id", "left_semi")
     cuts = materialize(held.groupBy("lang").agg(F.percentile_approx("perplexity", keep, 10000).alias("cut")), "cuts")
     overall = cuts.agg(F.max("cut").alias("m")).first().m
