@@ -64,12 +64,10 @@ def reject_reason(c_only: bool = True, banned=BANNED) -> Column:
 
 
 def tagged(rows: DataFrame, c_only: bool = True, banned=BANNED) -> DataFrame:
-    return (
-        rows.withColumn("repo_norm", tx.normalize_repo_url(F.col("repo_url")))
-        .withColumn("cwes", tx.cwe_items(F.col("cwe_list")))
-        .withColumn("parent_list", tx.parse_parents(F.col("parents")))
-        .withColumn("reject_reason", reject_reason(c_only, banned))
-    )
+    worked = F.struct(tx.normalize_repo_url(F.col("repo_url")).alias("repo_norm"), tx.cwe_items(F.col("cwe_list")).alias("cwes"), tx.parse_parents(F.col("parents")).alias("parent_list"))
+    # one row in, one row out: the patterns run once a row instead of once for each test that a filter copies them into
+    once = rows.withColumn("worked", F.explode(F.array(worked)))
+    return once.select(*rows.columns, "worked.*").withColumn("reject_reason", reject_reason(c_only, banned))
 
 
 def earliest(rows: DataFrame, key: str, date: str, tie: str) -> DataFrame:
