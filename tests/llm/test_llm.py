@@ -140,6 +140,34 @@ def test_near_copies_match_brute_force(spark):
     assert simhash.keep_one(frame.limit(0)).count() == 0
 
 
+def test_near_copies_of_a_hub_and_of_loose_families(spark):
+    """Variants that are like their base but not like each other, chains, and families just below the limit."""
+    rng = np.random.default_rng(21)
+    texts = []
+
+    def add(words):
+        texts.append((len(texts), " ".join(words)))
+
+    def changed(words, spots):
+        w = list(words)
+        for at in spots:
+            w[at] = f"x{rng.integers(0, 1 << 40)}"
+        return w
+
+    for family, (size, step) in enumerate(((40, 9), (30, 13), (25, 11))):
+        base = [f"f{family}w{i}" for i in range(400)]
+        for _ in range(size):
+            add(changed(base, rng.choice(400, step, replace=False)))
+        add(base)
+    chain = [f"c{i}" for i in range(300)]
+    for _ in range(12):
+        chain = changed(chain, rng.choice(300, 5, replace=False))
+        add(chain)
+    got = sorted(r.doc_id for r in simhash.keep_one(docs(spark, texts)).collect())
+    want = sorted(brute_kept(texts))
+    assert got == want and 10 < len(want) < len(texts) - 20
+
+
 def test_near_copies_in_blocks(monkeypatch):
     texts = [b"", b"one", *(" ".join(f"w{i * j}" for i in range(40 * j)).encode() for j in range(1, 9))]
     whole = neardup.band_keys(*neardup.shingles(texts))
