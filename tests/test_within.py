@@ -2,6 +2,8 @@
 
 import random
 
+from pyspark.sql import functions as F
+
 from sliceforge.operators import program, within
 from sliceforge.plans import registry
 
@@ -80,3 +82,18 @@ def test_statements_alone(spark, monkeypatch):
     assert want and want == _rows(program.statements(inside, edges), "nid", "function")
     monkeypatch.setattr(within, "traits", None)  # sizes ask for no traits
     assert registry.QUERIES["function_sizes"](spark, SF).count() > 0
+
+
+def test_scoped_edges(spark):
+    nodes, edges = _random_graph(spark, 7, True)
+    odd = [("g", "n1_0", None, "AST", 1), ("g", "n1_0", "n1_1", None, 0), ("g", "gone", "n1_1", "AST", 1), ("g", "n1_0", "n5_0", "CFG", 0)]
+    edges = edges.unionByName(spark.createDataFrame(odd, edges.schema)).localCheckpoint()
+    some = nodes.filter("id IN ('m1', 'm2')").selectExpr("graph_id", "fullName AS function_full")
+    inside, kept, _ = program.scoped(nodes, edges, some)
+    own = {r.id for r in inside.collect()}
+    want = sorted((tuple(r) for r in edges.collect() if r.src in own and r.dst in own), key=repr)
+    assert inside.columns == [*nodes.columns, "owner"] and kept.columns == edges.columns
+    assert want and len(own) < nodes.count() and sorted(map(tuple, kept.collect()), key=repr) == want
+    # tree edges are dealt out once, by the end they start from
+    tree = program.scoped(nodes, edges.withColumn("etype", F.lit("AST")), some)[1]
+    assert tree._jdf.queryExecution().optimizedPlan().toString().count("LeftSemi") == 1
