@@ -1,5 +1,6 @@
 """Near copies by Jaccard similarity of word shingles: MinHash buckets propose, exact set comparison decides.
 
+Links from elsewhere (fingerprints, see simhash) may propose too; they are compared like any other.
 Each text gets BANDS keys of ROWS minima each; two texts that share a key are candidates. A pair at
 similarity s shares none with probability (1 - s**ROWS)**BANDS: under 5e-7 at 0.8, less above it.
 Keys link a bucket's members to its smallest one only, so buckets are never expanded into pairs. The
@@ -117,14 +118,15 @@ def clusters(sets: list[np.ndarray]) -> np.ndarray:
     return label
 
 
-def _named(rows: DataFrame) -> DataFrame:
+def named_texts(rows: DataFrame) -> DataFrame:
+    """rows (doc_id, text, ...) -> (doc_id, tid, text): tid is the hash of the text, null counts as empty."""
     return rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).select(
         "doc_id", F.xxhash64("text").alias("tid"), "text"
     )
 
 
-def candidates(texts: DataFrame) -> DataFrame:
-    """(tid long, text) -> (tid, cand): texts that may have a near copy, by component of shared keys."""
+def key_links(texts: DataFrame) -> DataFrame:
+    """(tid long, text) -> links (u, v): of the texts that share a key, each with the smallest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b, part in portions(batches, 1 << 20):
@@ -136,6 +138,14 @@ def candidates(texts: DataFrame) -> DataFrame:
     shared = keys.groupBy("key").agg(F.min("tid").alias("v"), F.max("tid").alias("most")).filter("v < most").select("key", "v")
     links = materialize(keys.join(shared, "key").filter("tid <> v").select(F.col("tid").alias("u"), "v").distinct(), "links")
     release(keys)
+    return links
+
+
+def candidates(texts: DataFrame, proposed: DataFrame | None = None) -> DataFrame:
+    """(tid long, text) -> (tid, cand): texts that may have a near copy, by component of shared keys and of links (u, v) proposed."""
+    links = key_links(texts)
+    if proposed is not None:
+        links = links.unionByName(proposed)
     return connected_components(links).select(F.col("node").alias("tid"), F.col("component").alias("cand"))
 
 
@@ -166,17 +176,17 @@ def verified(texts: DataFrame) -> DataFrame:
     return texts.select("tid", "text", "cand").repartition("cand").sortWithinPartitions("cand", "tid").mapInArrow(run, "tid long, near long")
 
 
-def kept_rows(docs: DataFrame) -> DataFrame:
+def kept_rows(docs: DataFrame, proposed: DataFrame | None = None) -> DataFrame:
     """docs (doc_id, text, ...) -> (doc_id, tid): the smallest doc_id of each group of near copies, and the hash of its text.
 
     A group is what links of similarity LEAST or more connect; null texts count as empty, and texts without words are alike.
-    Of several texts under that doc_id the one with the smallest hash is named.
+    Of several texts under that doc_id the one with the smallest hash is named. proposed holds further links (u, v) of hashes to compare.
     """
     ship(docs.sparkSession)
-    named = _named(docs)
+    named = named_texts(docs)
     # of equal texts one row goes on
     owners = materialize(named.groupBy("tid").agg(F.min("doc_id").alias("low")), "owners")
-    cand = candidates(named.select("tid", "text"))
+    cand = candidates(named.select("tid", "text"), proposed)
     # few texts have a partner: only theirs move on
     mine = cand.join(owners, "tid").select(F.col("tid").alias("own"), "low", "cand")
     texts = named.join(mine, (F.col("tid") == F.col("own")) & F.col("doc_id").eqNullSafe(F.col("low"))).select("tid", "text", "cand")

@@ -10,6 +10,10 @@ Only distinct fingerprints are indexed. A variant bucket of two members is a can
 of more members (families of near copies) are not expanded into pairs: their members are indexed by
 the whole-fingerprint one-bit variants instead, whose buckets hold at most 65 fingerprints, all
 within two bits of each other, so a star through the smallest member keeps every connection.
+
+The pipeline's stage (keep_one) groups texts of similar word shingles: fingerprints propose pairs, also
+farther apart where a variant shows them, an exact comparison decides. Fingerprints of texts just similar
+enough may differ in any number of bits, so MinHash keys (neardup) propose as well, for all that is out of reach.
 """
 
 from __future__ import annotations
@@ -24,14 +28,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sliceforge.llm.neardup import kept_rows
+from sliceforge.llm.neardup import kept_rows, named_texts
 from sliceforge.llm.textkit import portions
 from sliceforge.operators.components import connected_components
-from sliceforge.runtime import materialize, ship
+from sliceforge.runtime import materialize, release, ship
 
 BITS = 64
 #: Fingerprints whose variants one task makes.
 SPREAD = 20_000
+#: Bits in which two fingerprints that are alone in a variant may differ for keep_one to compare their texts.
+REACH = 12
 _xxh = partial(xxhash.xxh64_intdigest, seed=42)
 _BLOCK = 1 << 16
 
@@ -74,9 +80,13 @@ def fingerprints(docs: DataFrame, text: str = "text", shingle: int = 3) -> DataF
 
 
 def links(fps: DataFrame, max_distance: int = 2) -> DataFrame:
-    """Distinct fingerprints (fp long) -> links (u, v) whose components are those of all pairs within max_distance."""
-    if max_distance != 2:
-        raise ValueError("segments and variants are laid out for a distance of 2")
+    """Distinct fingerprints (fp long) -> links (u, v), none beyond max_distance, whose components hold all pairs within two bits.
+
+    At a distance of 2 they are just the components of those pairs. A wider one also links two fingerprints within it that
+    are alone in a variant, which shows only part of the pairs beyond two bits.
+    """
+    if max_distance < 2:
+        raise ValueError("segments and variants are laid out for a distance of 2 or more")
     spark = fps.sparkSession
     # each becomes 64 rows: enough partitions that a task's rows stay in memory, however few bytes they come from
     fps = fps.repartition(max(spark.sparkContext.defaultParallelism, fps.count() // SPREAD + 1))
@@ -89,7 +99,7 @@ def links(fps: DataFrame, max_distance: int = 2) -> DataFrame:
         .filter("n > 1")
     )
     shared = materialize(signed, "variants")
-    pairs = shared.filter("n = 2 AND bit_count(u ^ v) <= 2").select("u", "v")
+    pairs = shared.filter(f"n = 2 AND bit_count(u ^ v) <= {int(max_distance)}").select("u", "v")
     # A crowded variant stands for two segment values: the wiped bit unset and set.
     crowded = (
         shared.filter("n > 2")
@@ -125,6 +135,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", max_distance: int = 2)
     never name a component (a component of such rows only has a null id). Repeated rows stay repeated.
     An empty table gives an empty result. Other columns are ignored, whatever their names.
     """
+    if max_distance != 2:
+        raise ValueError("components are whole for a distance of 2 only")
     prints = materialize(fingerprints(docs, text), "prints")
     owners = prints.groupBy("fp").agg(F.min("doc_id").alias("low"))
     comps = connected_components(links(owners.select("fp"), max_distance))
@@ -141,12 +153,28 @@ def op9(spark, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def proposals(texts: DataFrame) -> DataFrame:
+    """(tid long, text), equal texts of equal tid -> links (u, v) of the tids whose fingerprints are equal, within two bits,
+    or within REACH and alone in a variant."""
+    prints = materialize(fingerprints(texts.withColumnRenamed("tid", "doc_id")).distinct(), "prints")
+    owners = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("low")), "fps")
+    same = prints.join(owners, "fp").filter("doc_id <> low").select(F.col("doc_id").alias("u"), F.col("low").alias("v"))
+    far = links(owners.select("fp"), REACH)
+    ends = [owners.select(F.col("fp").alias(c), F.col("low").alias(f"{c}_tid")) for c in ("u", "v")]
+    named = far.join(ends[0], "u").join(ends[1], "v").select(F.col("u_tid").alias("u"), F.col("v_tid").alias("v"))
+    out = materialize(same.unionByName(named), "proposals")
+    release(prints)
+    release(owners)
+    return out
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
     """The pipeline stage: of each group the row with the smallest doc_id stays, with its own columns.
 
-    Groups are those of neardup (five words, similarity 0.8), not op9's of fingerprints. Rows without
-    a doc_id cannot be told apart and stay. Of rows that repeat that doc_id with the same text one stays;
-    under one doc_id with different texts, the text whose hash stands for the group stays, and no other.
+    Fingerprints propose pairs (proposals), MinHash keys those that they do not reach, and five-word shingles of
+    similarity 0.8 or more decide (neardup). Rows without a doc_id cannot be told apart and stay. Of rows that
+    repeat that doc_id with the same text one stays; under one doc_id with different texts, the text whose hash
+    stands for the group stays, and no other.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -154,7 +182,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     at = {c: n for c, n in zip(docs.columns, names, strict=True)}
     own = docs.toDF(*names)
     key, body = F.col(at["doc_id"]).cast("long"), F.xxhash64(F.coalesce(at["text"], F.lit("")))
-    kept = kept_rows(docs.select("doc_id", "text")).select(F.col("doc_id").alias("kept_id"), F.col("tid").alias("kept_tid"))
+    kept = kept_rows(docs.select("doc_id", "text"), proposals(named_texts(docs).select("tid", "text"))).select(F.col("doc_id").alias("kept_id"), F.col("tid").alias("kept_tid"))
     first = own.join(kept, (key == F.col("kept_id")) & (body == F.col("kept_tid")))
     # repeated rows: the first by all their columns, so that a second run keeps the same one
     best = first.groupBy("kept_id", "kept_tid").agg(F.min_by(F.struct(*names), F.xxhash64(*names)).alias("row")).select(*[F.col(f"row.{n}").alias(n) for n in names])

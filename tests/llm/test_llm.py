@@ -168,6 +168,33 @@ def test_near_copies_of_a_hub_and_of_loose_families(spark):
     assert got == want and 10 < len(want) < len(texts) - 20
 
 
+def test_fingerprints_propose_near_copies(spark, monkeypatch):
+    """Without MinHash keys the stage finds what fingerprints show, and an exact comparison still decides."""
+    rng = np.random.default_rng(33)
+    texts = [(1, None), (2, ""), (3, " \t"), (4, "one two"), (5, "One\ttwo")]
+    for base in range(12):
+        words = [f"b{base}w{i}" for i in range(2000)]
+        texts.append((100 + base * 10, " ".join(words)))
+        for copy in (1, 2):
+            w = list(words)
+            w[int(rng.integers(2000))] = f"x{rng.integers(1 << 40)}"
+            texts.append((100 + base * 10 + copy, " ".join(w)))
+    # fingerprints count repeats, similarity does not: these are one bit apart or none, and differ
+    texts += [(900 + k, "a b c " * 3000 + " ".join(f"k{k}i{i}" for i in range(8))) for k in range(2)]
+    fps = {i: simhash.fingerprint(t) for i, t in texts}
+    far = {(i, j): bin((fps[i] ^ fps[j]) & ((1 << 64) - 1)).count("1") for i in fps for j in fps if i < j}
+    close = {pair for pair, n in far.items() if n <= 2}
+    assert (900, 901) in close and sum(i >= 100 for i, _ in close) > 8
+    whole = brute_kept(texts)
+    assert {900, 901} <= whole and sorted(r.doc_id for r in simhash.keep_one(docs(spark, texts)).collect()) == sorted(whole)
+    frame = docs(spark, texts).selectExpr("doc_id AS tid", "text")
+    got = {tuple(sorted((r.u, r.v))) for r in simhash.proposals(frame).collect()}
+    assert all(far[p] <= simhash.REACH for p in got) and any(far[p] > 2 for p in got)
+    monkeypatch.setattr(neardup, "key_links", lambda t: t.select(F.col("tid").alias("u"), F.col("tid").alias("v")).limit(0))
+    kept = {r.doc_id for r in simhash.keep_one(docs(spark, texts)).collect()}
+    assert whole <= kept and {j for i, j in close} - {901} <= set(fps) - kept
+
+
 def test_near_copies_in_blocks(monkeypatch):
     texts = [b"", b"one", *(" ".join(f"w{i * j}" for i in range(40 * j)).encode() for j in range(1, 9))]
     whole = neardup.band_keys(*neardup.shingles(texts))
