@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sliceforge.llm.textkit import U, Words, column, give_back, mix, portions, prefix_sums, rows, span_hash, utf8
+from sliceforge.llm.textkit import U, Words, column, give_back, mix, prefix_sums, rows, slices, span_hash, utf8
 from sliceforge.runtime import ship, table
 
 ROUNDS = 2
@@ -46,6 +46,8 @@ REACH = (8, 3, 1)
 FAR = 1 << 40
 NONE = U(0xFFFFFFFFFFFFFFFF)
 BATCH_BYTES = 2 << 20
+#: Bytes of texts of a batch whose symbols and windows are in memory at once (a longer text stands alone).
+PART_BYTES = 512 << 10
 #: Of the 31 bits of a batch's number: those that count within a partition (4 GB of text); the others number a million partitions.
 BATCH_BITS = 11
 _LOW = (1 << 32) - 1
@@ -198,6 +200,31 @@ class Batch:
         return mix(span_hash(a, s, e)), mix(span_hash(b, s, e))
 
 
+def parts(texts: list[bytes], window: int) -> Iterator[tuple[int, Batch]]:
+    """The texts in ranges of about PART_BYTES, each with the index of its first text; no symbol or window crosses texts."""
+    for lo, hi in slices(texts, PART_BYTES):
+        yield lo, Batch(texts[lo:hi], window)
+
+
+def _filled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Arrow batches joined or cut into others of about BATCH_BYTES of text; the last may hold less."""
+    held, size = [], 0
+    for b in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(column(b, "text")), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
+        lo = 0
+        while lo < len(b):
+            before = int(ends[lo - 1]) if lo else 0
+            hi = min(int(np.searchsorted(ends, before + BATCH_BYTES - size)) + 1, len(b))
+            held.append(b.slice(lo, hi - lo))
+            size, lo = size + int(ends[hi - 1]) - before, hi
+            if size >= BATCH_BYTES:
+                yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+                held, size = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+    give_back()
+
+
 def packs(docs: DataFrame) -> DataFrame:
     """docs (doc_id, text, ...) -> (batch, payload): rows in batches of about BATCH_BYTES, all columns kept, compressed, dealt by batch.
 
@@ -207,10 +234,9 @@ def packs(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << BATCH_BITS
-        for b, _ in portions(batches, BATCH_BYTES):
-            if len(b):
-                yield rows(batch=pa.array([number], pa.int64()), payload=pa.array([_sealed(b)], pa.binary()))
-                number += 1
+        for b in _filled(batches):
+            yield rows(batch=pa.array([number], pa.int64()), payload=pa.array([_sealed(b)], pa.binary()))
+            number += 1
         if number - (TaskContext.get().partitionId() << BATCH_BITS) > 1 << BATCH_BITS:
             raise ValueError("a partition holds too many batches to number; read it in smaller splits")
 
@@ -249,9 +275,9 @@ def shared_anchors(packed: DataFrame, window: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, held in _unsealed(batches):
-            b = Batch(_judged(held)[1], window)
-            if b.places:
-                names, times = np.unique(np.concatenate([p.key for p in b.places]), return_counts=True)
+            keys = [p.key for _, b in parts(_judged(held)[1], window) for p in b.places]
+            if keys:
+                names, times = np.unique(np.concatenate(keys), return_counts=True)
                 yield rows(anchor=names.view(np.int64), batch=np.full(len(names), number), n=np.minimum(times, 2).astype(np.int32))
 
     seen = packed.mapInArrow(run, "anchor long, batch long, n int")
@@ -268,49 +294,57 @@ _PIECES = "key1 long, key2 long, doc_id long, place long, home long, body binary
 def _windows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
     """Windows under shared anchors: chunks, and (without a body) ranges already known to be repeats."""
     for number, held, anchors_ in _unsealed(batches, "anchors"):
-        doc_ids, texts = _judged(held)
-        b = Batch(texts, window)
-        if not b.places:
-            continue
-        wanted = np.unique(anchors_.values.to_numpy().view(U))
+        yield from _met(number, *_judged(held), np.unique(anchors_.values.to_numpy().view(U)), window)
+
+
+def _known(h1: np.ndarray, h2: np.ndarray, doc_id: np.ndarray, pos: np.ndarray) -> np.ndarray:
+    """Which windows have an earlier equal one among them; rows of one doc_id tie at equal starts."""
+    order = np.lexsort((pos, doc_id, h2, h1))
+    s1, s2, sid, spos = h1[order], h2[order], doc_id[order], pos[order]
+    head = np.concatenate(([True], (s1[1:] != s1[:-1]) | (s2[1:] != s2[:-1])))
+    lead = np.flatnonzero(head)[np.cumsum(head) - 1]
+    known = np.zeros(len(h1), bool)
+    known[order] = (sid != sid[lead]) | (spos != spos[lead])
+    return known
+
+
+def _met(number: int, ids: np.ndarray, texts: list[bytes], wanted: np.ndarray, window: int) -> Iterator[pa.RecordBatch]:
+    """The rows of one batch; wanted: its shared anchors, in order."""
 
-        def shared(key: np.ndarray, wanted=wanted) -> np.ndarray:
-            return wanted[np.minimum(np.searchsorted(wanted, key), len(wanted) - 1)] == key
+    def shared(key: np.ndarray) -> np.ndarray:
+        return wanted[np.minimum(np.searchsorted(wanted, key), len(wanted) - 1)] == key
 
+    picked = []
+    for lo, b in parts(texts, window):
         pick = b.led_by(shared)
-        if not len(pick):
-            continue
-        ids = doc_ids
-        h1, h2 = b.hashes()
-        h1, h2, owner, pos = h1[pick], h2[pick], b.owner[pick], b.pos[pick]
-        # the earliest of equal windows in this batch; rows of one doc_id tie at equal starts
-        order = np.lexsort((pos, ids[owner], h2, h1))
-        s1, s2, sid, spos = h1[order], h2[order], ids[owner][order], pos[order]
-        head = np.concatenate(([True], (s1[1:] != s1[:-1]) | (s2[1:] != s2[:-1])))
-        lead = np.flatnonzero(head)[np.cumsum(head) - 1]
-        later = (sid != sid[lead]) | (spos != spos[lead])
-        known = np.zeros(len(pick), bool)
-        known[order] = later
-        # chunks: cut between windows where they are not neighbours, and where the content says so
-        gap = np.concatenate(([True], (owner[1:] != owner[:-1]) | (pos[1:] != pos[:-1] + 1)))
-        cut = gap | ((h1 & U(15)) == 0)
-        # periodic text may go long without a cut: offsets must fit 16 bits
-        since = np.arange(len(pick)) - np.maximum.accumulate(np.where(cut, np.arange(len(pick)), 0))
-        at = np.flatnonzero(cut | ((since & 0xFFFF) == 0xFFFF))
-        size = np.diff(np.append(at, len(pick)))
-        fresh = ~known
-        left = np.add.reduceat(fresh.astype(np.int64), at)
-        yield _known_ranges(number, ids, owner, pos, known)
-        live = np.flatnonzero(left > 0)
-        packed = np.empty(len(pick), _BODY)
-        packed["a"], packed["b"], packed["at"] = h1, h2 >> U(32), pos - np.repeat(pos[at], size)
-        both = np.stack((h1, h2), axis=1)
-        bodies, keys = [], np.zeros((len(live), 2), U)
-        for k, i in enumerate(live.tolist()):
-            part = slice(at[i], at[i] + size[i])
-            bodies.append(packed[part][fresh[part]].tobytes())
-            keys[k] = np.frombuffer(xxhash.xxh3_128_digest(both[part].tobytes()), U)
-        yield _pieces(keys[:, 0].view(np.int64), keys[:, 1].view(np.int64), ids[owner[at[live]]], pos[at[live]], size[live], number, owner[at[live]], pa.array(bodies, pa.binary()))
+        if len(pick):
+            picked.append((*(h[pick] for h in b.hashes()), b.owner[pick] + lo, b.pos[pick]))
+    if not picked:
+        return
+    h1, h2, owner, pos = (np.concatenate(c) for c in zip(*picked, strict=True))
+    del picked, b, pick
+    n = len(pos)
+    known = _known(h1, h2, ids[owner], pos)
+    # chunks: cut between windows where they are not neighbours, and where the content says so
+    gap = np.concatenate(([True], (owner[1:] != owner[:-1]) | (pos[1:] != pos[:-1] + 1)))
+    cut = gap | ((h1 & U(15)) == 0)
+    # periodic text may go long without a cut: offsets must fit 16 bits
+    since = np.arange(n) - np.maximum.accumulate(np.where(cut, np.arange(n), 0))
+    at = np.flatnonzero(cut | ((since & 0xFFFF) == 0xFFFF))
+    size = np.diff(np.append(at, n))
+    fresh = ~known
+    left = np.add.reduceat(fresh.astype(np.int64), at)
+    yield _known_ranges(number, ids, owner, pos, known)
+    live = np.flatnonzero(left > 0)
+    packed = np.empty(n, _BODY)
+    packed["a"], packed["b"], packed["at"] = h1, h2 >> U(32), pos - np.repeat(pos[at], size)
+    both = np.stack((h1, h2), axis=1)
+    bodies, keys = [], np.zeros((len(live), 2), U)
+    for k, i in enumerate(live.tolist()):
+        part = slice(at[i], at[i] + size[i])
+        bodies.append(packed[part][fresh[part]].tobytes())
+        keys[k] = np.frombuffer(xxhash.xxh3_128_digest(both[part].tobytes()), U)
+    yield _pieces(keys[:, 0].view(np.int64), keys[:, 1].view(np.int64), ids[owner[at[live]]], pos[at[live]], size[live], number, owner[at[live]], pa.array(bodies, pa.binary()))
 
 
 def _pieces(key1, key2, doc_id, pos, n, number: int, at, body: pa.Array) -> pa.RecordBatch:

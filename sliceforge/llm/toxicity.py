@@ -244,7 +244,7 @@ def _cut(raw: np.ndarray, labels: np.ndarray) -> float:
 def score_texts(m: Model, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Scores in [0, 1] and guessed languages; 0.5 is the threshold of the language."""
     score, lang = np.zeros(len(texts)), np.zeros(len(texts), np.int64)
-    for lo, hi in slices(texts, 1 << 20):
+    for lo, hi in slices(texts, 1 << 18):
         cols, first, lang[lo:hi] = features(texts[lo:hi])
         score[lo:hi] = 1 / (1 + np.exp(-np.clip(m.raw(cols, first) - m.cuts[lang[lo:hi]], -30, 30)))
     return score, lang
@@ -309,7 +309,7 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     held = spark.sparkContext.broadcast(model)  # size fixed by BUCKETS, DIM and FILTERS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b, texts in portions(batches):
+        for b, texts in portions(batches, 1 << 20):
             s, lang = score_texts(held.value, utf8(texts))
             yield rows(doc_id=column(b, "doc_id"), score=s, predicted=(s >= 0.5).astype(np.int32), language=[LANGS[i] for i in lang])
 
@@ -331,7 +331,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     # Arrow batches keep every other column as it is, whole numbers beside nulls included
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b, texts in portions(batches):
+        for b, texts in portions(batches, 1 << 20):
             yield b.filter(pa.array(score_texts(held.value, utf8(texts))[0] < 0.5))
 
     return docs.mapInArrow(run, docs.schema)

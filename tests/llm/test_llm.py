@@ -2,16 +2,19 @@
 
 import base64
 import hashlib
+import tracemalloc
 from io import BytesIO
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 import xxhash
 from pyspark.sql import functions as F
 
 from sliceforge.llm import ann, bpe, media, neardup, packing, preference, quality, secrets, simhash, substring, toxicity
+from sliceforge.runtime import ARROW_BYTES
 
 DDL = "doc_id long, text string, lang string, source string, n_chars long, spans string"
 
@@ -56,6 +59,44 @@ def test_repeats_match_brute_force(spark):
     assert substring.remove_repeats(docs(spark, CASES).limit(0)).count() == 0
 
 
+def test_repeats_hold_little_in_memory():
+    rng = np.random.default_rng(5)
+    vocabulary = [f"w{i}" for i in range(20000)]
+    texts = [" ".join(rng.choice(vocabulary, 350)) for _ in range(500)] * 2
+    held = pa.RecordBatch.from_pydict({"doc_id": range(len(texts)), "text": texts})
+    whole = substring.Batch([t.encode() for t in texts], 20)
+    anchors = np.unique(np.concatenate([p.key for p in whole.places]))
+    merged = [b.places for _, b in substring.parts([t.encode() for t in texts], 20)]
+    assert len(merged) > 1 and np.array_equal(np.unique(np.concatenate([p.key for places in merged for p in places])), anchors)
+    n = len(whole.starts)
+    del whole, merged
+    packed = pa.RecordBatch.from_pydict({"batch": [1, 2], "payload": [substring._sealed(held)] * 2, "anchors": [anchors.view(np.int64)] * 2})
+    tracemalloc.start()
+    try:
+        # second copies are known at once, first ones go on in chunks
+        places = [column for b in substring._windows(iter([packed]), 20) for column in b.column(3).to_pylist()]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sum(p & 0xFFFFFFFF for p in places) == 2 * n
+    assert peak < 100e6
+
+
+def test_batches_for_python_are_small(spark):
+    rows = docs(spark, [(i, f"{i} " + "x" * 40000) for i in range(600)]).coalesce(1)
+    packed = substring.packs(rows)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": [b.nbytes]})
+
+    most = max(r.n for r in rows.select("text").mapInArrow(sizes, "n long").collect())
+    assert most <= 2 * ARROW_BYTES
+    # packs are filled across those batches
+    texts = [len(pa.ipc.open_stream(r.payload).read_next_batch()) for r in packed.collect()]
+    assert sum(texts) == 600 and sorted(texts)[1] >= substring.BATCH_BYTES // 40010
+
+
 def test_repeats_tell_long_words_apart(spark):
     a = "".join("ab"[bin(i).count("1") & 1] for i in range(4096))
     b = a.translate(str.maketrans("ab", "ba"))
