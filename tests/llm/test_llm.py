@@ -378,6 +378,33 @@ def test_ann_recall(spark, monkeypatch):
     assert mean_recall(40) < 0.2  # codes of other vectors find nothing
 
 
+@pytest.mark.parametrize("shape", ["wide", "shifted", "uneven"])
+def test_ann_rows_that_codes_fit_badly(spark, monkeypatch, shape):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(2500, 96))
+    if shape == "shifted":  # all far from zero and close together
+        x = 1000 + 0.001 * x
+    if shape == "uneven":  # lengths over ten orders of magnitude, and copies
+        x = x * np.exp(rng.normal(0, 4, (2500, 1)))
+        x[1000:1040] = x[1000]
+    x = x.astype(np.float32).astype(float)
+    monkeypatch.setattr(ann, "TRAIN_VECTORS", 300)
+    monkeypatch.setattr(ann, "CHUNK_BYTES", 50_000)
+    monkeypatch.setattr(ann, "CHUNKS_A_TASK", 3)
+    frame = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "vec_id long, embedding array<float>").repartition(3)
+    found = {}
+    for r in ann.search(frame, F.col("id") % 100 == 0, rerank=20).collect():
+        found.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    assert len(found) == 25
+    for q, got in found.items():
+        d = np.zeros(len(x))
+        for c in range(96):
+            d += (x[:, c] - x[q, c]) ** 2
+        d[q] = np.inf
+        best = np.argsort(d, kind="stable")[:10]
+        assert sorted(got) == [(n, i, float(np.sqrt(d[i]))) for n, i in enumerate(best.tolist(), 1)]
+
+
 def test_ann_odd_rows(spark):
     big = 2**60 + 4
     rows = [(0, [1.0, 2.0]), (0, [1.0, 2.0]), (3, [1.0, 2.0]), (2, [1.0, 2.0]), (None, [1.0, 2.0]), (5, [1.0, None]), (7, [float("inf"), 1.0]), (9, [1e30, 1.0]), (big, [0.5, 0.5]), (11, [1.0, 2.0, 3.0])]
